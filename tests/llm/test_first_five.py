@@ -1,0 +1,291 @@
+"""Operators 1, 2, 4, 6, 8 and the pipeline against brute force."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from leafmill.llm import exact_dedup, packing, pii, quality_rules, simhash_trie
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def base_counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    inside = {k + d for k, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for d in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(inside)
+
+
+def test_quality_counts(docs, rows, none):
+    got = by_id(quality_rules.assess(docs))
+    for i, text in rows:
+        want = base_counts(text)
+        r = got[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want, text and text[:50]
+        assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert not (r["kept"] and r["base_failed"])
+    assert quality_rules.assess(none).count() == 0
+    kept = {i for i, r in got.items() if r["kept"]}
+    assert {r["doc_id"] for r in quality_rules.keep_good(docs).collect()} == kept
+    assert quality_rules.keep_good(docs).columns == docs.columns and len(kept) > 20
+
+
+def test_quality_em_matches_plain_loop(spark):
+    votes = ["ggggggg"] * 50 + ["bgg-gbg"] * 7 + ["bbb-b--"] * 9 + ["-------"] * 3
+    m = quality_rules.fit(spark.createDataFrame([(v,) for v in votes], "votes string"))
+    prior, good, bad = 0.8, [0.9] * 7, [0.7] * 7
+    for _ in range(quality_rules.ITERATIONS):
+        post = []
+        for v in votes:
+            odds = np.log(prior / (1 - prior))
+            for j, c in enumerate(v):
+                odds += {"g": np.log(good[j] / (1 - bad[j])), "b": np.log((1 - good[j]) / bad[j]), "-": 0}[c]
+            post.append(1 / (1 + np.exp(-odds)))
+        prior = np.clip((1 + sum(post)) / (2 + len(votes)), 0.01, 0.99)
+        for j in range(7):
+            voted = [(p, v[j]) for p, v in zip(post, votes) if v[j] != "-"]
+            good[j] = np.clip((9 + sum(p for p, c in voted if c == "g")) / (10 + sum(p for p, _ in voted)), 0.55, 0.995)
+            bad[j] = np.clip((7 + sum(1 - p for p, c in voted if c == "b")) / (10 + sum(1 - p for p, _ in voted)), 0.55, 0.995)
+    assert np.allclose([m.prior, *m.good, *m.bad], [prior, *good, *bad])
+
+
+def test_quality_runs_no_python(docs):
+    plan = quality_rules.keep_good(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_exact_groups(spark, docs, rows, none):
+    norm = {i: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for i, t in rows}
+    groups = defaultdict(list)
+    for i, t in norm.items():
+        groups[t].append(i)
+    got = by_id(exact_dedup.groups(docs, exact_dedup.new_index(spark)))
+    for i, t in norm.items():
+        r = got[i]
+        assert (r["keep_id"], r["group_size"], r["kept"]) == (min(groups[t]), len(groups[t]), i == min(groups[t]))
+        assert r["text_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+    assert exact_dedup.groups(none, exact_dedup.new_index(spark)).count() == 0
+    kept = exact_dedup.keep_first(docs, exact_dedup.new_index(spark))
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(min(g) for g in groups.values())
+
+
+def test_index_remembers(spark, docs):
+    index = exact_dedup.new_index(spark, 3)
+    first = docs.where("doc_id % 2 = 0")
+    exact_dedup.keep_first(first, index).count()
+    again = exact_dedup.DigestIndex(spark, index.path, 3)
+    n = again.rows().count()
+    assert exact_dedup.groups(first, again).where("kept").count() == n == again.rows().count()
+    known = {bytes(r["digest"]) for r in again.rows().collect()}
+    both = exact_dedup.groups(docs, again).where("kept").collect()
+    assert len({r["text_sha256"] for r in both}) == again.rows().count()
+    assert all(r["doc_id"] % 2 == 0 for r in both if bytes.fromhex(r["text_sha256"]) in known)
+    plan = first.select(F.unhex(exact_dedup.digest(F.col("text"))).alias("digest")).join(again.rows().hint("merge"), "digest", "left_anti")
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    again.drop()
+
+
+def brute_fp(text):
+    words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(text or "")]
+    sh = [" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+    hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) if hs else 0
+
+
+def brute_components(fps):
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    fps = sorted(fps)
+    for k, a in enumerate(fps):
+        for b in fps[k + 1 :]:
+            if (a ^ b).bit_count() <= 3:
+                root[find(b)] = find(a)
+    return {f: find(f) for f in fps}
+
+
+def test_simhash(docs, rows, none):
+    fps = {i: brute_fp(t) for i, t in rows if t is None or len(t) < 100_000}
+    got = by_id(simhash_trie.near_duplicates(docs))
+    fps |= {i: int(got[i]["fingerprint"], 16) for i, _ in rows if i not in fps}
+    comp = brute_components(set(fps.values()))
+    least = {}
+    for i, f in fps.items():
+        least[comp[f]] = min(least.get(comp[f], i), i)
+    for i, f in fps.items():
+        assert got[i]["fingerprint"] == f"{f:016x}" and got[i]["component_id"] == least[comp[f]]
+    assert simhash_trie.near_duplicates(none).count() == 0
+    assert simhash_trie.keep_one(docs).count() == len(least)
+
+
+@pytest.mark.parametrize("split", [5, 10_000])
+def test_simhash_links_lose_nothing(spark, split):
+    rng = np.random.default_rng(3)
+    centre = rng.integers(0, 1 << 63, 6).tolist()
+    fps = {0, (1 << 64) - 1}
+    for c in centre:
+        for _ in range(60):
+            f = c
+            for b in rng.integers(0, 64, rng.integers(0, 6)).tolist():
+                f ^= 1 << b
+            fps.add(f)
+    want = brute_components(fps)
+    signed = lambda f: f - (1 << 64) if f >> 63 else f
+    df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+    got = {r["node"]: r["root"] for r in simhash_trie.components(simhash_trie.links(df, split)).collect()}
+    groups = lambda m: {frozenset(k for k in m if m[k] == v) for v in m.values()}
+    assert groups({signed(f): got.get(signed(f), signed(f)) for f in fps}) == groups({signed(k): v for k, v in want.items()})
+
+
+def test_trie_keeps_a_dense_ball_small():
+    rng = np.random.default_rng(1)
+    fp = np.unique(np.array([sum(1 << int(b) for b in rng.integers(0, 48, 3)) for _ in range(3000)], np.uint64))
+    label = simhash_trie.trie_components(np.zeros(len(fp), np.int64), fp)
+    want = brute_components(set(fp[:400].tolist()))
+    sub = simhash_trie.trie_components(np.zeros(400, np.int64), fp[:400])
+    assert len(set(sub.tolist())) == len(set(want.values())) and len(set(label.tolist())) <= len(set(sub.tolist())) + 2600
+
+
+def plain_best_fit(lengths, capacity):
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        fits = [k for k, r in enumerate(rooms) if r >= n]
+        if fits:
+            k = min(fits, key=lambda k: rooms[k])
+            rooms[k] -= n
+        else:
+            rooms.append(capacity - n)
+    return sorted(rooms)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=120))
+def test_plan_is_best_fit_decreasing(lengths):
+    runs = packing.plan(dict(Counter(lengths)), 40)
+    bins, ranks = defaultdict(list), Counter()
+    for length, rank, number, first, fits, offset in sorted(runs):
+        assert ranks[length] == rank
+        ranks[length] += number
+        for k in range(number):
+            bins[first + k // fits].append((offset + k % fits * length, length))
+    assert ranks == Counter(lengths)
+    for b in bins.values():
+        end = 0
+        for offset, length in sorted(b):
+            assert offset == end
+            end += length
+    assert sorted(40 - sum(n for _, n in b) for b in bins.values()) == plain_best_fit(lengths, 40)
+
+
+def test_packing(docs, rows, none):
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got = packing.pack(docs, with_ids=True).collect()
+    mine = defaultdict(dict)
+    for r in got:
+        mine[r["doc_id"]][r["piece"]] = r
+    for i, text in rows:
+        ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        assert len(mine[i]) == -(-len(ids) // 2048)
+        for k, r in mine[i].items():
+            part = ids[2048 * k : 2048 * (k + 1)].tobytes()
+            assert (r["start"], 4 * r["length"], r["ids_crc32"], bytes(r["ids"])) == (2048 * k, len(part), zlib.crc32(part), part)
+    bins = defaultdict(list)
+    for r in got:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for b in bins.values():
+        end = 0
+        for o, n in sorted(b):
+            assert o == end
+            end += n
+        assert end <= 2048
+    assert len(bins) == len(plain_best_fit([r["length"] for r in got], 2048))
+    assert packing.pack(none).count() == 0
+
+
+def plain_pii(text):
+    text, out = text or "", []
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append((m.start(), 0, m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m.group().split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = digits(m.group())
+        if 14 <= len(d) <= 19 and sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(d[::-1])) % 10 == 0:
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= len(digits(m.group())) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return [(pii.BASE[k], a, b) for a, k, b in sorted(out)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.text("ab1.@+-% ", max_size=40), st.text("0123456789.+-() 4", max_size=60), st.text(max_size=30)))
+def test_pii_base_spans(text):
+    assert pii.base_spans(text) == plain_pii(text)
+    for kind, a, b in pii.candidates(text):
+        assert len(pii.label(text, kind, a, b)) == len(pii.LABELERS)
+
+
+def test_pii(spark, docs, none):
+    texts = [
+        None, "", "write to a.b@mail.example.com or call +1 (269) 555-3296 4524132264652876 now", "ip 10.2.3.4 and 999.1.1.1",
+        "password=b7db7aa4a5fcc78305 is secret", "version 1.2.3 of 2020-10-10", "9" * 60_000, "a" * 60_000 + "@", "1." * 30_000,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = pii.fit(df)
+    got = by_id(pii.find(df, model))
+    for i, t in enumerate(texts):
+        base = plain_pii(t)
+        assert got[i]["base_sha256"] == hashlib.sha256(pii.written(base).encode()).hexdigest()
+        assert set(pii.written(base).split(",")) <= {*got[i]["spans"].split(","), ""}
+        assert [got[i][f"n_{k}"] for k in pii.BASE] == [sum(s[0] == k for s in base) for k in pii.BASE]
+    assert "phone:39:56" in got[2]["spans"] and "card:57:73" in got[2]["spans"] and got[5]["spans"] == ""
+    clean = by_id(pii.redacted(df, model))
+    assert clean[2]["text"].startswith("write to [EMAIL] or call [PHONE] [CARD]") and clean[0]["text"] is None
+    assert pii.find(none, pii.fit(none)).count() == 0 and pii.redacted(docs, model).columns == docs.columns
+
+
+def test_pipeline(spark, rows, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    quality = {r["doc_id"] for r in quality_rules.assess(docs).where("kept").collect()}
+    seen = {}
+    for i, t in rows:
+        if i in quality:
+            seen.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t), i)
+    fps = {i: brute_fp(rows[i][1]) for i in seen.values()}
+    comp, least = brute_components(set(fps.values())), {}
+    for i, f in sorted(fps.items()):
+        least.setdefault(comp[f], i)
+    assert {r["doc_id"] for r in got} == set(least.values())
+    assert sum(r["length"] for r in got) > 0
