@@ -1,7 +1,7 @@
 """Quality rules by weak supervision, in DataFrame and SQL functions only.
 
-Seven rules look at counts of a text and vote *good* (``g``), *bad* (``b``) or
-abstain (``-``). Vote patterns are counted over all documents (at most 3**7
+Eight rules look at counts of a text and vote *good* (``g``), *bad* (``b``) or
+abstain (``-``). Vote patterns are counted over all documents (at most 3**8
 rows, whatever the corpus), expectation-maximisation over that table estimates
 how far each rule can be trusted, and a document's posterior probability of
 being good replaces the demand that every rule be met. No label is used.
@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 
 from .shared import WS, cut
 
-RULES = ("symbols", "word_length", "dup_lines", "repeats", "capitals", "length", "sentences")
+RULES = ("symbols", "symbols_a_word", "word_length", "dup_lines", "repeats", "capitals", "length", "sentences")
 ITERATIONS = 30
-#: Range of a rule's estimated accuracies: each is held to be better than chance, which fixes what "good" means.
-LEAST, MOST = 0.55, 0.995
+#: Ranges of P(votes good | good) and P(votes bad | bad). Rules seldom err on good documents, which fixes what
+#: "good" means; a bad document may break one rule only. No single vote is beyond doubt.
+GOOD, BAD = (0.6, 0.98), (0.05, 0.98)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_marks")
 
 
@@ -108,6 +109,7 @@ def votes(c: Column) -> Column:
     n, chars, lines = c["n_words"], c["word_chars"], c["n_lines"]
     return F.concat(
         rule(c["n_symbols"] * 20 > chars, c["n_symbols"] * 100 <= chars),
+        rule(c["n_symbols"] * 4 > n, c["n_symbols"] * 50 <= n),
         rule((chars < 2 * n) | (chars > 14 * n), (chars >= 3 * n) & (chars <= 10 * n) & (n > 0)),
         rule(c["n_dup_lines"] * 10 > lines * 3, (c["n_dup_lines"] == 0) & (lines > 1)),
         rule(c["n_repeat_words"] * 10 > n * 3, (c["n_repeat_words"] * 10 < n) & (n > 2)),
@@ -134,10 +136,10 @@ aggregate(sequence(1, {ITERATIONS}),
       'prior', least(greatest((1D + aggregate(e, 0D, (s, x) -> s + x.r)) / (2D + aggregate(e, 0D, (s, x) -> s + x.n)), 0.01D), 0.99D),
       'good', transform(sequence(1, {len(RULES)}), j -> least(greatest(
         (9D + aggregate(e, 0D, (s, x) -> s + IF(substring(x.votes, j, 1) = 'g', x.r, 0D)))
-        / (10D + aggregate(e, 0D, (s, x) -> s + IF(substring(x.votes, j, 1) != '-', x.r, 0D))), {LEAST}D), {MOST}D)),
+        / (10D + aggregate(e, 0D, (s, x) -> s + IF(substring(x.votes, j, 1) != '-', x.r, 0D))), {GOOD[0]}D), {GOOD[1]}D)),
       'bad', transform(sequence(1, {len(RULES)}), j -> least(greatest(
         (7D + aggregate(e, 0D, (s, x) -> s + IF(substring(x.votes, j, 1) = 'b', x.n - x.r, 0D)))
-        / (10D + aggregate(e, 0D, (s, x) -> s + IF(substring(x.votes, j, 1) != '-', x.n - x.r, 0D))), {LEAST}D), {MOST}D)))), 1))
+        / (10D + aggregate(e, 0D, (s, x) -> s + IF(substring(x.votes, j, 1) != '-', x.n - x.r, 0D))), {BAD[0]}D), {BAD[1]}D)))), 1))
 """
 
 

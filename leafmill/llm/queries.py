@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, pii, quality_rules, simhash_trie
+from . import class_lm, exact_dedup, language_id, packing, pii, quality_rules, simhash_trie, toxicity, url_filter
 from .shared import read_table
 
 
@@ -22,6 +22,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -31,11 +37,25 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return exact_dedup.groups(docs, exact_dedup.new_index(spark))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.fit(pages))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
 OP8_SQL = r"""
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY 1)
@@ -53,9 +73,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_toxicity": op3_toxicity,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op6_pii": op6_pii,
+        "op7_class_lm": op7_class_lm,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_url_filter": op9_url_filter,
+        "op10_language_id": op10_language_id,
         "pipeline": pipeline,
     }
 

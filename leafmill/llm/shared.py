@@ -24,7 +24,7 @@ WS = r"[\x20\x09-\x0D]"
 #: Characters of text that one kernel call holds at most, unless one text is longer.
 SLICE_CHARS = 8_000_000
 #: Smallest number of partitions that a Python stage is cut into, per core.
-TASKS_PER_CORE = 2
+TASKS_PER_CORE = 1
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -51,9 +51,9 @@ def test_quality_counts(docs, rows, none):
 
 
 def test_quality_em_matches_plain_loop(spark):
-    votes = ["ggggggg"] * 50 + ["bgg-gbg"] * 7 + ["bbb-b--"] * 9 + ["-------"] * 3
+    votes = ["gggggggg"] * 50 + ["bgg-gbgg"] * 7 + ["bbb-b--g"] * 9 + ["--------"] * 3
     m = quality_rules.fit(spark.createDataFrame([(v,) for v in votes], "votes string"))
-    prior, good, bad = 0.8, [0.9] * 7, [0.7] * 7
+    prior, good, bad = 0.8, [0.9] * 8, [0.7] * 8
     for _ in range(quality_rules.ITERATIONS):
         post = []
         for v in votes:
@@ -62,10 +62,10 @@ def test_quality_em_matches_plain_loop(spark):
                 odds += {"g": np.log(good[j] / (1 - bad[j])), "b": np.log((1 - good[j]) / bad[j]), "-": 0}[c]
             post.append(1 / (1 + np.exp(-odds)))
         prior = np.clip((1 + sum(post)) / (2 + len(votes)), 0.01, 0.99)
-        for j in range(7):
+        for j in range(8):
             voted = [(p, v[j]) for p, v in zip(post, votes) if v[j] != "-"]
-            good[j] = np.clip((9 + sum(p for p, c in voted if c == "g")) / (10 + sum(p for p, _ in voted)), 0.55, 0.995)
-            bad[j] = np.clip((7 + sum(1 - p for p, c in voted if c == "b")) / (10 + sum(1 - p for p, _ in voted)), 0.55, 0.995)
+            good[j] = np.clip((9 + sum(p for p, c in voted if c == "g")) / (10 + sum(p for p, _ in voted)), *quality_rules.GOOD)
+            bad[j] = np.clip((7 + sum(1 - p for p, c in voted if c == "b")) / (10 + sum(1 - p for p, _ in voted)), *quality_rules.BAD)
     assert np.allclose([m.prior, *m.good, *m.bad], [prior, *good, *bad])
 
 
