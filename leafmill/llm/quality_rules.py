@@ -170,14 +170,14 @@ def assess(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
     Kept is false where the base rules fail (under 50 words, or over half of
     them in repeated 3-word windows), else whether the posterior reaches
-    ``threshold``. Null and empty texts have no words and fail; repeated rows
+    ``threshold``. The model is fitted to what the base rules leave. Null and empty texts have no words and fail; repeated rows
     are judged alike; an empty table gives an empty result; other columns of
     ``docs`` aren't read. The counts are cut off by a checkpoint, so the texts
     are read once.
     """
     c = docs.select("doc_id", counts(F.col("text")).alias("c"))
     table = cut(c.select("doc_id", "c.*", votes(F.col("c")).alias("votes"), base_failed(F.col("c")).alias("base_failed")))
-    model = fit(table.select("votes"))
+    model = fit(table.where(~F.col("base_failed")).select("votes"))
     return table.withColumn("quality", posterior(F.col("votes"), model)).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality") >= threshold)
     )
@@ -190,6 +190,7 @@ def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     never shuffled.
     """
     text = F.col("text")
-    model = fit(docs.select(votes(counts(text)).alias("votes")))
+    judged = docs.select(counts(text).alias("c")).select(votes(F.col("c")).alias("votes"), base_failed(F.col("c")).alias("base_failed"))
+    model = fit(judged.where(~F.col("base_failed")).select("votes"))
     ok = let(counts(text), lambda c: ~base_failed(c) & (posterior(votes(c), model) >= threshold))
     return docs.where(ok)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import class_lm, exact_dedup, language_id, packing, pii, quality_rules, simhash_trie, toxicity, url_filter
+from . import class_lm, exact_dedup, language_id, packing, piece_codec, pii, quality_rules, simhash_trie, toxicity, url_filter
 from .shared import read_table
 
 
@@ -32,6 +32,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode(read_table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return pii.find(docs, pii.fit(docs))
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_toxicity": op3_toxicity,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
+        "op5_piece_codec": op5_piece_codec,
         "op6_pii": op6_pii,
         "op7_class_lm": op7_class_lm,
         "op8_exact_dedup": op8_exact_dedup,

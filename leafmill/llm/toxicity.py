@@ -145,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad_n, good_n = sizes.get(1, 0), sizes.get(0, 0)
     lift = F.log((F.col("bad") + 0.5) / (bad_n + 1)) - F.log((F.col("good") + 0.5) / (good_n + 1))
-    chosen = counts.where(F.col("bad") >= 5 + 0.002 * bad_n).withColumn("lift", lift).where("lift > 1.5").orderBy(F.desc(F.col("lift") * F.log("bad")), "f").limit(FEATURES)
+    chosen = counts.where(F.col("bad") >= 4 + 0.002 * bad_n).withColumn("lift", lift).where("lift > 1.5").orderBy(F.desc(F.col("lift") * F.log("bad")), "f").limit(FEATURES)
     features = {r["f"]: r["lift"] for r in chosen.collect()} if bad_n and good_n else {}
     pure = {f for f, x in features.items() if x > 2.5}
 
