@@ -106,14 +106,14 @@ def pieces(path: str) -> Pieces:
     return _PIECES[path]
 
 
-def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+def by_length(words: list[str], least: int = 32) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
     """Word numbers of one length each and their characters; no characters for long or rare lengths."""
     size = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(size, kind="stable")
     cuts = np.flatnonzero(np.diff(size[order])) + 1
     for at in np.split(order, cuts):
         n = int(size[at[0]]) if len(at) else 0
-        if n and n < TOGETHER and len(at) >= 32:
+        if n and n < TOGETHER and len(at) >= least:
             yield at, np.array([words[k] for k in at.tolist()], dtype=f"U{n}").view(np.uint32).reshape(len(at), n).astype(np.uint64)
         elif n:
             yield at, None
@@ -158,7 +158,7 @@ def _forward(word: str, vocabulary: Pieces, table: np.ndarray) -> np.ndarray:
 def expected(words: list[str], weight: np.ndarray, vocabulary: Pieces, table: np.ndarray) -> np.ndarray:
     """Expected piece counts a language by forward-backward; ``weight``: how often each word occurs in each."""
     out = np.zeros_like(table)
-    for at, codes in by_length(words):
+    for at, codes in by_length(words, least=1):
         if codes is None:
             continue
         edges = list(vocabulary.edges(codes))
@@ -196,8 +196,8 @@ def fit(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS) ->
 
     Rows whose crc32(doc_id as text) mod 4 is 2, or that have no doc_id, are
     held out. The driver gets the languages and at most a row for each piece
-    and language. Words of TOGETHER characters and more, and rare lengths,
-    teach nothing; all words are scored.
+    and language. Words of TOGETHER characters and more teach nothing; all
+    words are scored.
     """
     labelled = docs.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
     labelled = labelled.where(~crc_fold(F.col("doc_id"), 4, 2))
