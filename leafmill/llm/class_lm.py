@@ -21,14 +21,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import LOWER_TABLE, crc_fold, materialise, slices, spread, sums, words_of
+from .shared import crc_fold, lower_bytes, materialise, slices, spread, sums, words_of
 
 #: Characters of text in a block, unless one text is longer.
-BLOCK = 12_000_000
+BLOCK = 6_000_000
 #: Commonest words that are units of their own; tail units; classes; passes of the exchange.
 HEADS, TAILS, CLASSES, PASSES = 600, 200, 48, 8
 #: The end of a text, a token that no text holds.
@@ -40,6 +41,16 @@ def tail_unit(word: str) -> int:
     return HEADS + 1 + zlib.crc32(word[-2:].encode("utf-8", "replace")) % TAILS
 
 
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, byte by byte of equal rank, compressed."""
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+
+
+def unsqueeze(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 def blocks(docs: DataFrame, limit: int = BLOCK) -> DataFrame:
     """A row for each block: its words, their training counts, and its documents as word numbers.
 
@@ -51,27 +62,27 @@ def blocks(docs: DataFrame, limit: int = BLOCK) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text", limit):
                 offsets, ids, distinct = words_of(batch.column("text"))
-                raw = [w.encode() for w in distinct.to_pylist()]
-                lowered, to = np.unique(np.array([w.translate(LOWER_TABLE) for w in [*raw, END.encode()]], dtype=object), return_inverse=True)
+                number_of: dict[bytes, int] = {}
+                to = np.fromiter((number_of.setdefault(w, len(number_of)) for w in lower_bytes([*distinct.to_pylist(), END])), np.int64, len(distinct) + 1)
                 n = batch.num_rows
-                tokens = np.empty(len(ids) + n, np.int32)
+                tokens = np.empty(len(ids) + n, np.int64)
                 ends = offsets[1:] + np.arange(n)
                 inner = np.ones(len(tokens), bool)
                 inner[ends] = False
                 tokens[inner], tokens[ends] = to[:-1][ids], to[-1]
                 held = batch.column("held_out").to_numpy(zero_copy_only=False)
                 sizes = np.diff(offsets) + 1
-                train = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(lowered))
+                train = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(number_of))
                 one = lambda values, kind: pa.array([values], pa.list_(kind))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([number], pa.int64()),
-                        one([w.decode() for w in lowered.tolist()], pa.string()),
+                        one([w.decode() for w in number_of], pa.string()),
                         one(train, pa.int64()),
                         one(batch.column("doc_id").to_pylist(), pa.int64()),
                         one(held, pa.bool_()),
                         one(sizes, pa.int64()),
-                        pa.array([tokens.astype("<i4").tobytes()], pa.binary()),
+                        pa.array([squeeze(tokens)], pa.binary()),
                     ],
                     ["block", "words", "train", "doc_ids", "held", "sizes", "tokens"],
                 )
@@ -84,7 +95,7 @@ def blocks(docs: DataFrame, limit: int = BLOCK) -> DataFrame:
 def _arrays(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
     for k in range(batch.num_rows):
         row = {n: batch.column(n)[k] for n in batch.schema.names}
-        out = {n: np.frombuffer(v.as_py(), "<i4") if n == "tokens" else v.values.to_numpy(zero_copy_only=False) if isinstance(v, pa.ListScalar) else v.as_py() for n, v in row.items()}
+        out = {n: unsqueeze(v.as_py()) if n == "tokens" else v.values.to_numpy(zero_copy_only=False) if isinstance(v, pa.ListScalar) else v.as_py() for n, v in row.items()}
         yield out
 
 
@@ -234,15 +245,20 @@ def score(docs: DataFrame) -> DataFrame:
     known = rows.select("block", "at", "word").join(counts, "word").groupBy("block").agg(F.collect_list(F.struct("at", "n")).alias("known"))
     known = known.select("block", F.col("known.at").alias("known_at"), F.col("known.n").alias("known_n"))
 
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = [model.unit_class[unit_numbers(np.array(w, object), model.heads)].astype(np.uint8).tobytes() for w in batch.column("words").to_pylist()]
+            yield batch.set_column(batch.schema.get_field_index("words"), "classes", pa.array(of, pa.binary()))
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in _arrays(batch):
-                count = np.zeros(len(b["words"]))
+                word_class = np.frombuffer(b["classes"], np.uint8)
+                count = np.zeros(len(word_class))
                 if b["known_at"] is not None:
                     count[b["known_at"]] = b["known_n"]
                 tokens, sizes = b["tokens"], b["sizes"]
                 offsets = np.concatenate(([0], np.cumsum(sizes)))
-                word_class = model.unit_class[unit_numbers(b["words"], model.heads)]
                 emission = np.log10(count + 1) - model.mass[word_class]
                 classes = word_class[tokens]
                 before = np.empty_like(classes)
@@ -264,5 +280,6 @@ def score(docs: DataFrame) -> DataFrame:
                 )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    joined = table.select("block", "words", "doc_ids", "held", "sizes", "tokens").join(known, "block", "left")
+    inner = "block long, classes binary, doc_ids array<long>, held array<boolean>, sizes array<long>, tokens binary"
+    joined = table.select("block", "words", "doc_ids", "held", "sizes", "tokens").mapInArrow(classed, inner).join(known, "block", "left")
     return joined.drop("block").mapInArrow(each, schema)
