@@ -1,2 +1,363 @@
-def queries():
-    return {}
+"""One query for each operator, over the driver's tables. ``oracles`` has the same in SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafmill.functions.text import MERGED_RUN
+from leafmill.operators import anchor, assemble, classify, index, reconcile, rotate, route, sheet, spacing, validate, wordproc
+from leafmill.plans import adapters as a
+from leafmill.sources import sinks
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+@query
+def page_reason(spark, sf_dir):
+    return classify.page_reasons(a.document_pages(spark, sf_dir)).select("doc_id", "page_number", "chars", "reason")
+
+
+@query
+def page_reason_by_count(spark, sf_dir):
+    return classify.page_reasons(a.document_pages(spark, sf_dir), by_count_only=True).select("doc_id", "page_number", "reason")
+
+
+@query
+def doc_verdict(spark, sf_dir):
+    judged = classify.verdict(classify.classify(a.conversation_pages(spark, sf_dir)))
+    pages = {c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c) for c in ("needs_ocr", "garbage", "image")}
+    return judged.select("doc_id", "page_count", "total_chars", *pages.values(), F.round("ratio", 6).alias("ratio"), "verdict")
+
+
+@query
+def ocr_ratio_by_source(spark, sf_dir):
+    pages = classify.page_reasons(a.document_pages(spark, sf_dir))
+    counted = pages.groupBy("source").agg(F.count("*").alias("pages"), F.count("reason").alias("needing"), F.bool_or(F.coalesce(F.col("reason") == "garbage", F.lit(False))).alias("any_garbage"))
+    return counted.withColumn("ratio", F.round(classify.ocr_ratio(F.col("needing"), F.col("pages")), 6))
+
+
+@query
+def image_coverage(spark, sf_dir):
+    left, top = (F.col("l_partkey") % 600).cast("double"), (F.col("l_suppkey") % 700).cast("double")
+    rect = F.struct(left.alias("x0"), top.alias("y0"), (left + F.col("l_quantity") * 10).alias("x1"), (top + F.col("l_quantity") * 8).alias("y1"))
+    images = a.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(rect).alias("images"))
+    share = classify.image_coverage(F.col("images"), F.lit(612.0), F.lit(792.0))
+    return images.select(F.col("l_orderkey").alias("doc_id"), F.round(share, 6).alias("coverage"), (share > 0.5).alias("heavy"))
+
+
+@query
+def rotation_resolve(spark, sf_dir):
+    p = a.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("size"))
+    page = [F.floor(F.col("k") / 20).cast("long").alias("doc_id"), (F.col("k") % 20 + 1).cast("int").alias("page_number")]
+    turn = F.when(F.col("k") % 5 < 4, (F.col("k") % 5 * 90).cast("int"))
+    observed = p.select(*page, (F.col("size") % 4 * 90).cast("int").alias("applied_rotation"), turn.alias("rotate"), (F.col("size") / 10.0).cast("double").alias("conf"))
+    tried = p.withColumn("r", F.explode(F.array(*map(F.lit, (0, 90, 180, 270)))))
+    seen = F.when((F.col("k") + F.col("r")) % 11 != 0, ((F.col("r") + F.col("k") % 7 * 90) % 360).cast("int"))
+    return rotate.resolve(observed, tried.select(*page, F.col("r").cast("int").alias("applied_rotation"), seen.alias("rotate"))).drop("rotate", "conf")
+
+
+@query
+def merged_run_scan(spark, sf_dir):
+    runs = F.regexp_extract_all("text", F.lit(MERGED_RUN), 0)
+    docs = a.table(spark, sf_dir, "documents").where(F.col("text").rlike(MERGED_RUN))
+    return docs.select("doc_id", F.size(runs).alias("n_runs"), F.array_join(runs, " ").alias("runs"))
+
+
+@query
+def spacing_repair(spark, sf_dir):
+    pages = a.table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = F.split(F.regexp_replace("text", r"([A-Z]{4})(?=[A-Z]{4})", "$1 "), r"\s+")
+    return spacing.repair(pages.withColumn("words", words)).select("doc_id", "text")
+
+
+@query
+def assemble_pages(spark, sf_dir):
+    return assemble.body(a.conversation_chunks(spark, sf_dir))
+
+
+@query
+def assemble_document(spark, sf_dir):
+    return assemble.document(a.conversation_chunks(spark, sf_dir))
+
+
+@query
+def chunk_offsets(spark, sf_dir):
+    placed = assemble.offsets(a.conversation_chunks(spark, sf_dir))
+    return placed.select("doc_id", "seq", "page_number", F.col("start").cast("long"), F.col("stop").cast("long"))
+
+
+@query
+def chunk_boxes(spark, sf_dir):
+    chunks = a.conversation_chunks(spark, sf_dir)
+    whole = F.struct(F.lit("text").alias("class"), F.array(F.lit(0.0)).alias("bbox"), F.array(F.lit(2), F.length("text")).alias("pos"))
+    nowhere = F.struct(F.lit("picture").alias("class"), F.array(F.lit(1.0)).alias("bbox"), F.lit(None).cast("array<int>").alias("pos"))
+    found = assemble.boxes(chunks.withColumn("boxes", F.array(whole, nowhere)), assemble.offsets(chunks))
+    at = [F.get("doc_pos", k).cast("long").alias(n) for k, n in enumerate(("start", "stop"))]
+    return found.select("doc_id", "seq", "box_no", "class", "text", "page_number", *at)
+
+
+@query
+def tag_lines_with_page(spark, sf_dir):
+    return index.tagged_lines(assemble.body(a.conversation_chunks(spark, sf_dir))).select("doc_id", "line_no", "line", "page")
+
+
+@query
+def title_index(spark, sf_dir):
+    return index.title_index(assemble.body(a.conversation_chunks(spark, sf_dir)))
+
+
+@query
+def title_index_text(spark, sf_dir):
+    return index.rendered(index.title_index(assemble.body(a.conversation_chunks(spark, sf_dir))))
+
+
+@query
+def running_headers(spark, sf_dir):
+    return index.banners(index.headings(assemble.body(a.conversation_chunks(spark, sf_dir))))
+
+
+@query
+def boilerplate_blocks(spark, sf_dir):
+    return anchor.boilerplate(a.document_blocks(spark, sf_dir))
+
+
+@query
+def anchor_blocks(spark, sf_dir):
+    return anchor.needles(a.document_blocks(spark, sf_dir))
+
+
+@query
+def page_markers(spark, sf_dir):
+    return anchor.with_markers(a.document_markdown(spark, sf_dir), a.document_blocks(spark, sf_dir))
+
+
+@query
+def json_blocks(spark, sf_dir):
+    listed = sinks.block_lists(a.document_blocks(spark, sf_dir).withColumn("bbox", F.array(F.lit(0.0))))
+    return anchor.from_json(listed).select("doc_id", "seq", "text", "page_idx")
+
+
+@query
+def rare_tokens(spark, sf_dir):
+    counts = reconcile.token_counts(a.document_markdown(spark, sf_dir))
+    return reconcile.rare_tokens(counts, a.benchmark_words(spark, sf_dir)).select("doc_id", "token", "n")
+
+
+@query
+def dictionary_tokens(spark, sf_dir):
+    counts = reconcile.token_counts(a.document_markdown(spark, sf_dir))
+    return reconcile.dictionary_tokens(counts, a.benchmark_words(spark, sf_dir)).select("doc_id", "token", "n")
+
+
+@query
+def spelling_twins(spark, sf_dir):
+    counts = reconcile.token_counts(a.document_markdown(spark, sf_dir))
+    return reconcile.twins(counts, a.benchmark_words(spark, sf_dir)).select("doc_id", "rare_token", "dict_token")
+
+
+@query
+def spelling_reconciled(spark, sf_dir):
+    return reconcile.confirmed(a.document_markdown(spark, sf_dir), a.reference_markdown(spark, sf_dir), a.benchmark_words(spark, sf_dir))
+
+
+@query
+def spelling_text(spark, sf_dir):
+    return reconcile.reconcile(a.document_markdown(spark, sf_dir), a.reference_markdown(spark, sf_dir), a.benchmark_words(spark, sf_dir))
+
+
+@query
+def format_cells(spark, sf_dir):
+    return sheet.displayed(a.customer_cells(spark, sf_dir)).select("doc_id", "sheet_ix", "row", "col", "value")
+
+
+@query
+def merged_cells(spark, sf_dir):
+    return sheet.merged_blanks(a.sheet_merges(spark, sf_dir))
+
+
+@query
+def sheet_markdown(spark, sf_dir):
+    return sheet.sheets(a.customer_cells(spark, sf_dir), a.sheet_merges(spark, sf_dir)).select("doc_id", "sheet_ix", "table")
+
+
+@query
+def workbook_markdown(spark, sf_dir):
+    return sheet.workbooks(a.customer_cells(spark, sf_dir)).select("doc_id", "md", "error")
+
+
+@query
+def trim_trailing_rows(spark, sf_dir):
+    cells = a.customer_cells(spark, sf_dir).withColumn("kind", F.when(F.col("row") + F.col("sheet_ix") > 45, "null").otherwise(F.col("kind")))
+    return sheet.last_rows(sheet.displayed(cells.withColumn("formula", F.lit(None).cast("string"))))
+
+
+@query
+def ragged_table(spark, sf_dir):
+    lines = F.filter(F.split("text", "\n"), lambda x: F.regexp_count(x, F.lit(r"\|")) >= 2)
+    docs = a.table(spark, sf_dir, "documents").select("doc_id", lines.alias("lines")).where(F.size("lines") > 0)
+    cell = lambda c: wordproc.cell_text(F.array(c))
+    rows = F.transform("lines", lambda x: F.transform(F.split(x, r"\|"), cell))
+    return docs.select("doc_id", wordproc.table(rows).alias("table"))
+
+
+@query
+def style_headings(spark, sf_dir):
+    styles = F.array(*map(F.lit, ("Title", "Heading 1", "heading 2", "Heading 3", "Heading 4", "Heading 10", "Normal")))
+    style = F.get(styles, F.length("source") % 7)
+    return a.table(spark, sf_dir, "documents").select("doc_id", wordproc.paragraph(F.col("text"), style).alias("md"))
+
+
+@query
+def ordered_items(spark, sf_dir):
+    return wordproc.item_markdown(a.page_items(spark, sf_dir)).select("doc_id", "seq", "md")
+
+
+@query
+def page_documents(spark, sf_dir):
+    return wordproc.documents(a.page_items(spark, sf_dir))
+
+
+@query
+def dedupe_headers(spark, sf_dir):
+    turns = a.table(spark, sf_dir, "conversations")
+    label = F.when(F.col("turn") % 2 == 0, "Header").otherwise("Footer")
+    linked = F.col("turn") % 5 == 4
+    parts = turns.select(F.col("conv_id").alias("doc_id"), F.floor(F.col("turn") / 2).alias("section_ix"), label.alias("label"), linked.alias("linked"), F.substring("text", 1, 2).alias("text"))
+    return wordproc.headers_footers(parts).select("doc_id", "nth", "md")
+
+
+@query
+def route_files(spark, sf_dir):
+    kind = F.get(F.array(*map(F.lit, (".PDF", ".docx", ".xlsx", ".doc", ".XLS", ".txt", ".derotated.pdf", ""))), (F.col("page_id") % 8).cast("int"))
+    path = F.concat(F.lit("/in/"), F.col("page_id").cast("string"), kind)
+    verdict = F.when(F.col("page_id") % 3 == 0, "digital").when(F.col("page_id") % 3 == 1, "scan")
+    engine = F.when(F.col("page_id") % 13 == 0, "ocr").when(F.col("page_id") % 17 == 0, "other")
+    files = a.table(spark, sf_dir, "pages").select("page_id", path.alias("path"), verdict.alias("verdict"), engine.alias("forced"))
+    routed = route.route(files.withColumnRenamed("forced", "engine"))
+    return routed.select("page_id", "ext", "stem", "next_name", "engine", "error", route.supported(F.col("path")).alias("supported"))
+
+
+@query
+def pick_artifact(spark, sf_dir):
+    p = a.table(spark, sf_dir, "part").select((F.col("p_partkey") % 500).alias("doc_id"), "p_partkey", F.col("p_size").cast("long").alias("size"))
+    path = F.concat(F.lit("/out/"), F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("d"), F.col("doc_id").cast("string"))).otherwise(F.concat(F.lit("x"), F.col("p_partkey").cast("string"))), F.lit(".md"))
+    return route.pick_artefact(p.select("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("stem"), path.alias("path"), "size"))
+
+
+@query
+def image_links(spark, sf_dir):
+    text = F.concat(F.lit("![a](images/a.png) "), F.col("text"), F.lit(" ![b](images/b.png)"))
+    return a.table(spark, sf_dir, "documents").select("doc_id", route.image_links(text, F.concat(F.lit("doc"), F.col("doc_id").cast("string"))).alias("md"))
+
+
+@query
+def engine_diff(spark, sf_dir):
+    docs = a.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
+    other = F.when(F.col("doc_id") % 5 == 0, F.lit("changed")).otherwise(F.col("digest"))
+    return route.diff(docs.where("doc_id % 3 != 0"), docs.where("doc_id % 4 != 0").withColumn("digest", other), "doc_id", "digest")
+
+
+@query
+def refoot_totals(spark, sf_dir):
+    items = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.round("l_extendedprice", 2).alias("amount"))
+    totals = a.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_totalprice").alias("stated"))
+    return validate.refoot(items, totals, ["doc_id"]).select("doc_id", F.round("footed", 2).alias("footed"), "agrees")
+
+
+@query
+def nil_audit(spark, sf_dir):
+    cells = a.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), F.when(F.col("c_custkey") % 4 == 0, "-").otherwise(F.col("c_name")).alias("value"))
+    kept = F.when(F.col("doc_id") % 6 == 0, "0").when(F.col("doc_id") % 5 == 0, " ").otherwise(F.col("value"))
+    return validate.nil_audit(cells, cells.withColumn("value", kept).where("doc_id % 9 != 0"), ["doc_id"])
+
+
+@query
+def spacer_split(spark, sf_dir):
+    lines = a.order_lines(spark, sf_dir).select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("row"), F.col("l_partkey").cast("string").alias("cell"))
+    cell = F.when(F.length("cell") % 2 == 0, F.lit("-")).otherwise(F.col("cell"))
+    rows = validate.spacer_split(lines.select("doc_id", "row", F.array(cell, F.lit(" ")).alias("cells")), ["doc_id"])
+    return rows.select("doc_id", "row", F.get("cells", 0).alias("cell"), "table_no")
+
+
+@query
+def complete_periods(spark, sf_dir):
+    orders = a.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.year("o_orderdate").alias("period"))
+    return validate.complete(orders, ["doc_id"])
+
+
+@query
+def rolls_forward(spark, sf_dir):
+    orders = a.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("period"), F.col("o_totalprice").alias("closing"))
+    return validate.rolls_forward(orders.withColumn("opening", F.col("closing")), ["doc_id"]).select("doc_id", "period", "agrees")
+
+
+@query
+def footnote_between_tables(spark, sf_dir):
+    kind = F.when(F.col("l_linenumber") % 2 == 0, "footnote").when(F.col("l_suppkey") % 3 == 0, "text").otherwise("table")
+    blocks = a.order_lines(spark, sf_dir).select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("seq"), kind.alias("kind"))
+    return validate.footnote_between_tables(blocks)
+
+
+@query
+def heading_depth(spark, sf_dir):
+    found = index.headings(assemble.body(a.conversation_chunks(spark, sf_dir)))
+    return validate.heading_levels(found.withColumn("level", F.col("level") * 2)).select("doc_id", "line_no", "level", "depth")
+
+
+@query
+def finding_scorecard(spark, sf_dir):
+    kind = F.get(F.array(*map(F.lit, "ABC")), (F.col("l_partkey") % 3).cast("int"))
+    return validate.scorecard(a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), kind.alias("kind")))
+
+
+@query
+def html_tables(spark, sf_dir):
+    customers = a.table(spark, sf_dir, "customer")
+    body = F.concat(F.lit("<table><tr><td rowspan=2>"), "c_name", F.lit("</td><th>a &amp; b</th></tr><tr><td>"), F.col("c_custkey").cast("string"), F.lit("</td></tr></table>"))
+    return validate.html_tables(customers.select(F.col("c_custkey").alias("doc_id"), F.lit(0).alias("seq"), body.alias("table_body")))
+
+
+@query
+def inbox_replay(spark, sf_dir):
+    """Pages as word-processor files, every tenth broken, dropped in a folder that the stream works off."""
+    import tempfile
+    import uuid
+
+    from leafmill.streaming import inbox
+
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="leafmill-")
+    root = f"{shared.rstrip('/')}/inbox-{uuid.uuid4().hex}"
+
+    def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import io
+        import zipfile
+        from xml.sax.saxutils import escape
+
+        name = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
+        for batch in batches:
+            files = []
+            for page, url in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with zipfile.ZipFile(out := io.BytesIO(), "w") as z:
+                    z.writestr("word/document.xml", f'<w:document xmlns:w="{name}"><w:body><w:p><w:r><w:t>{escape(url or "")} is page {page}</w:t></w:r></w:p></w:body></w:document>')
+                files.append(out.getvalue() if page % 10 else b"not a zip file")
+            names = pa.array([f"{p}.docx" for p in batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([pa.array(["in"] * len(files)), names, pa.array(files, pa.binary())], ["folder", "name", "content"])
+
+    pages = a.table(spark, sf_dir, "pages").select("page_id", "url")
+    sinks.write_files(pages.mapInArrow(zipped, "folder string, name string, content binary"), root).count()
+    inbox.watch(spark, f"{root}/in", f"{root}/out", once=True).awaitTermination()
+    return inbox.ledger(spark, f"{root}/out").select("file", "outcome")
