@@ -68,4 +68,5 @@ def reconcile(primary: DataFrame, reference: DataFrame, words: DataFrame | None)
     whole_word = lambda t: F.concat(F.lit(r"(?U)\b"), t, F.lit(r"\b"))
     text = F.aggregate("pairs", F.col("md"), lambda s, p: F.regexp_replace(s, whole_word(p["dict_token"]), p["rare_token"]))
     n = F.aggregate("pairs", F.lit(0), lambda total, p: total + F.regexp_count(F.col("md"), whole_word(p["dict_token"])))
-    return joined.select("doc_id", F.coalesce(text, "md").alias("md"), F.coalesce(n, F.lit(0)).alias("n_replaced"))
+    counted = joined.withColumn("n_replaced", F.coalesce(n, F.lit(0)))  # before md has another meaning
+    return counted.select("doc_id", F.coalesce(text, "md").alias("md"), "n_replaced")

@@ -202,7 +202,7 @@ def _parsed(binary: DataFrame, parse: Callable, schemas: tuple[str, str]) -> tup
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark.sql.pandas.types import to_arrow_schema
 
-            arrow = to_arrow_schema(kinds, timezone="UTC")
+            arrow = to_arrow_schema(kinds)
             for batch in batches:
                 for doc, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     try:
