@@ -46,9 +46,9 @@ def output_inside(output: Column, directory: Column) -> Column:
 
 
 def pick_artefact(artefacts: DataFrame) -> DataFrame:
-    """doc_id, path, size: a document's artefact (doc_id, stem, path, size) named after it, else the largest; ties by path."""
+    """doc_id, path, size: a document's artefact (doc_id, stem, path, size) named after it, else the largest; ties by path, then size."""
     best = F.when(F.regexp_replace(file_name("path"), r"(?s)(.)\.[^.]*\z", "$1") == F.col("stem"), 1).otherwise(0)
-    ranked = F.max_by(F.struct("path", "size"), F.struct(best, F.when(best == 0, F.col("size")).otherwise(0), F.col("path")))
+    ranked = F.max_by(F.struct("path", "size"), F.struct(best, F.when(best == 0, F.col("size")).otherwise(0), F.col("path"), F.col("size")))
     return artefacts.groupBy("doc_id").agg(ranked.alias("a")).select("doc_id", "a.path", "a.size")
 
 

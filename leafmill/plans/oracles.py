@@ -147,7 +147,7 @@ def _sql() -> dict[str, str]:
       error, ext NOT IN ('', 'txt') AND page_id % 8 <> 6 AS supported FROM e"""
     o["pick_artifact"] = """WITH t AS (SELECT p_partkey % 500 AS doc_id, CAST(p_size AS BIGINT) AS size, p_partkey % 3 = 0 AS exact,
       '/out/' || CASE WHEN p_partkey % 3 = 0 THEN 'd' || (p_partkey % 500) ELSE 'x' || p_partkey END || '.md' AS path FROM part)
-    SELECT doc_id, path, max(size) AS size FROM t GROUP BY doc_id, path QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY bool_or(exact) DESC, CASE WHEN bool_or(exact) THEN 0 ELSE max(size) END DESC, path DESC) = 1"""
+    SELECT doc_id, path, size FROM t QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY exact DESC, CASE WHEN exact THEN 0 ELSE size END DESC, path DESC, size DESC) = 1"""
     o["image_links"] = "SELECT doc_id, replace('![a](images/a.png) ' || text || ' ![b](images/b.png)', '](images/', '](images/doc' || doc_id || '/') AS md FROM documents"
     o["engine_diff"] = """WITH d AS (SELECT doc_id, sha256(text) AS v FROM documents), a AS (SELECT * FROM d WHERE doc_id % 3 <> 0),
     b AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'changed' ELSE v END AS v FROM d WHERE doc_id % 4 <> 0)
