@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ascii_lower, spread
+from .shared import ascii_lower, cut, spread
 
 #: (verdict, host, path): a rule fits its host and all subdomains where the path starts with the rule's.
 RULES = (
@@ -107,11 +107,23 @@ class UrlModel:
 
 
 def lexicon(pages: DataFrame, size: int = LEXICON) -> dict[str, int]:
-    """Counts of the commonest words of 2 to 20 letters a-z in the pages' visible text, and the seeds."""
+    """Counts of the commonest words of 2 to 20 letters a-z in the pages' visible text, and the seeds.
+
+    Counts fall into classes a sixteenth of a power of two wide; the lexicon
+    is all words of the highest classes that together have at most ``size``.
+    So the driver gets a row for each class and then the lexicon, never a list
+    from every task.
+    """
     text = F.regexp_replace(F.coalesce(F.col("html"), F.lit("")), r"(?is)<(script|style)\b[^>]*>.*?</\1>|<[^>]*>", " ")
     words = pages.select(F.explode(F.split(F.lower(text), "[^a-z]+")).alias("w")).where(f"length(w) BETWEEN 2 AND {LONGEST}")
-    counts = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(size)
-    found = {r["w"]: r["n"] for r in counts.collect()}
+    counts = cut(words.groupBy("w").agg(F.count("*").alias("n")).withColumn("class", F.floor(F.log2("n") * 16).cast("int")))
+    left, least = size, None
+    for r in sorted(counts.groupBy("class").agg(F.count("*").alias("n")).collect(), reverse=True):
+        left -= r["n"]
+        if left < 0:
+            break
+        least = r["class"]
+    found = {r["w"]: r["n"] for r in counts.where(F.col("class") >= least).select("w", "n").collect()} if least is not None else {}
     common = max(1, sum(found.values()) // max(1, len(found)))
     return found | {s: max(common, found.get(s, 0)) for s in SEEDS}
 
