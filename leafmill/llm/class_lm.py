@@ -5,12 +5,15 @@ so what is shuffled is a row for each distinct word of a block, not one for
 each token: word counts over the whole corpus come from those rows, and go
 back to the blocks by a join, whatever the vocabulary's size.
 
-Exchange clustering works on *units*: the commonest words, each its own unit,
-and tail units by a hash of a word's last letters, which hold all other words,
-seen or not. Unit bigrams are counted over the whole training corpus; their
-table has a fixed size, so clustering runs on the driver. A word is in its
-unit's class. P(text) is the product over tokens of P(class | class before) and
-P(word | class).
+Exchange clustering starts on *units*: the commonest words, each its own unit,
+and tail units by a hash of a word's last letters, which hold all other words.
+Unit bigrams are counted over the whole training corpus; their table has a
+fixed size, so this runs on the driver. Then every other training word leaves
+its tail unit, by itself, for the class that the exchange would move it to by
+the classes of all its neighbours. Those counts are a distributed table by
+word; what is decided goes back to the blocks, and class bigrams are counted
+anew. Only a word that training never saw has its tail unit's class. P(text) is
+the product over tokens of P(class | class before) and P(word | class).
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -120,7 +124,6 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, passes: int = PASSES) ->
         into[:, c] = pairs[:, of == c].sum(axis=1)
         outof[c] = pairs[of == c].sum(axis=0)
     grid = np.stack([into[of == c].sum(axis=0) for c in range(classes)])
-    xlogx = lambda x: x * np.log(np.maximum(x, 1e-12))
     for _ in range(passes):
         moved = 0
         for u in order.tolist():
@@ -158,25 +161,79 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, passes: int = PASSES) ->
     return of
 
 
+#: A word's neighbours by class: those before, those after, itself after itself.
+SLOTS = 2 * CLASSES + 1
+_ENTRY = np.dtype([("slot", "u1"), ("n", "<u4")])
+#: Rows that are placed together, at least; words' entries in one computation; rows that go back to the blocks together.
+PLACED, ENTRIES, RETURNED = 60_000, 20_000, 500_000
+
+
+def xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-12))
+
+
+def place(grid: np.ndarray, own: np.ndarray, before: np.ndarray, after: np.ndarray, loop: np.ndarray) -> np.ndarray:
+    """Best class of each of some words, each moved alone: the step of :func:`exchange`, for many words at once.
+
+    ``grid``: class bigrams, the words in their ``own`` classes; ``before`` and
+    ``after`` (word, class): the words' neighbours, without ``loop``, how often
+    each word follows itself. A word stays if no class is better.
+    """
+    words, classes = before.shape
+    every = np.arange(words)
+
+    def side(table: np.ndarray, joins: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Gain from the pairs (class, k), without the word's own pairs."""
+        w, k = np.nonzero(joins)
+        x, home = joins[w, k], own[w]
+        base = table[:, k].T.copy()
+        at = np.flatnonzero(k == home)
+        base[at] -= other[w[at]]  # pairs of a class with the word's own class
+        base[np.arange(len(w)), home] -= x
+        base[at, home[at]] -= loop[w[at]]
+        gain = xlogx(base + x[:, None]) - xlogx(base)
+        out = np.zeros((words, classes))
+        if len(w):
+            first = np.flatnonzero(np.diff(w, prepend=-1))
+            out[w[first]] = np.add.reduceat(gain, first, axis=0)
+        return out
+
+    gain = side(grid, after, before) + side(grid.T, before, after)
+    d = np.tile(np.diag(grid), (words, 1))
+    d[every, own] -= before[every, own] + after[every, own] + loop
+    gain += xlogx(d + after + before + loop[:, None]) - xlogx(d + after) - xlogx(d + before) + xlogx(d)
+    ends, starts = after.sum(axis=1) + loop, before.sum(axis=1) + loop
+    # Pairs from a class to the word are in that class's row wherever the word is, and so with columns.
+    row, col = np.tile(grid.sum(axis=1), (words, 1)), np.tile(grid.sum(axis=0), (words, 1))
+    row[every, own] -= ends
+    col[every, own] -= starts
+    gain -= xlogx(row + ends[:, None]) - xlogx(row) + xlogx(col + starts[:, None]) - xlogx(col)
+    best = gain.argmax(axis=1)
+    return np.where(gain[every, best] > gain[every, own] + 1e-9, best, own)
+
+
 @dataclass(frozen=True)
-class ClassModel:
-    """heads: units of the commonest words; unit_class; moves: log10 P(class | class before); mass: log10 of each class's token and type count."""
+class Units:
+    """heads: units of the commonest words, with their counts; unit_class; grid: bigrams of the units' classes; tokens and types of training."""
 
     heads: dict[str, int]
+    head_count: np.ndarray
     unit_class: np.ndarray
-    moves: np.ndarray
-    mass: np.ndarray
+    grid: np.ndarray
     tokens: int
     types: int
 
+    def classes(self, words: np.ndarray) -> np.ndarray:
+        return self.unit_class[unit_numbers(words, self.heads)]
+
 
-def fit(table: DataFrame, counts: DataFrame) -> ClassModel:
-    """The model from :func:`blocks` and its word counts (word, n), all training tokens of all blocks.
+def fit(table: DataFrame, counts: DataFrame) -> Units:
+    """Classes of units from :func:`blocks` and its word counts (word, n), all training tokens of all blocks.
 
-    The driver gets HEADS words, at most (HEADS + TAILS + 2)**2 unit bigrams
-    and the number of words of each unit.
+    The driver gets HEADS words and at most (HEADS + TAILS + 2)**2 unit bigrams.
     """
-    heads = {r["word"]: k for k, r in enumerate(counts.orderBy(F.desc("n"), "word").limit(HEADS).collect(), 1)}
+    top = counts.orderBy(F.desc("n"), "word").limit(HEADS).collect()
+    heads = {r["word"]: k for k, r in enumerate(top, 1)}
     units = HEADS + TAILS + 1
     whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
 
@@ -185,42 +242,234 @@ def fit(table: DataFrame, counts: DataFrame) -> ClassModel:
         for batch in batches:
             for b in _arrays(batch):
                 unit = unit_numbers(b["words"], heads)[b["tokens"]]
-                before = np.empty_like(unit)
-                before[1:] = unit[:-1]
-                before[np.cumsum(b["sizes"]) - b["sizes"]] = 0  # the start of a text is unit 0
-                taught = np.repeat(~b["held"].astype(bool), b["sizes"])
-                total += np.bincount(before[taught] * units + unit[taught], minlength=units * units)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
-
-    def types_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(units, np.int64)
-        for batch in batches:
-            total += np.bincount(unit_numbers(np.array(batch.column("word").to_pylist(), object), heads), minlength=units)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["unit", "n"])
+                total += bigrams(unit, b["sizes"], b["held"], units)
+        yield numbered(total)
 
-    narrow = table.select("words", "held", "sizes", "tokens")
     pairs = np.zeros(units * units)
-    for batch in narrow.mapInArrow(pairs_of, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow().to_batches():
-        pairs[batch.column("pair").to_numpy()] = batch.column("n").to_numpy()
+    add_up(table.select("words", "held", "sizes", "tokens").mapInArrow(pairs_of, "at long, n long"), pairs)
     pairs = pairs.reshape(units, units)
-    types = np.zeros(units)
-    for r in counts.select("word").mapInArrow(types_of, "unit long, n long").groupBy("unit").agg(F.sum("n").alias("n")).collect():
-        types[r["unit"]] = r["n"]
     of = np.zeros(units, np.int64)
     of[1:] = 1 + exchange(pairs[1:, 1:])  # the start is a class of its own
     member = np.eye(CLASSES + 1)[of]
-    grid = member.T @ pairs @ member
+    count = np.array([0, *(r["n"] for r in top)], np.int64)
+    return Units(heads, count, of, member.T @ pairs @ member, int(whole["n"] or 0), int(whole["v"] or 0))
+
+
+def bigrams(numbers: np.ndarray, sizes: np.ndarray, held: np.ndarray, kinds: int) -> np.ndarray:
+    """How often a number follows another in a block's training texts, flat; the start of a text is number 0."""
+    before = np.empty_like(numbers)
+    before[1:] = numbers[:-1]
+    before[np.cumsum(sizes) - sizes] = 0
+    taught = np.repeat(~held.astype(bool), sizes)
+    return np.bincount(before[taught] * kinds + numbers[taught], minlength=kinds * kinds)
+
+
+def numbered(total: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+
+def add_up(partial: DataFrame, total: np.ndarray) -> None:
+    for batch in partial.groupBy("at").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        total[batch.column("at").to_numpy()] = batch.column("n").to_numpy()
+
+
+def neighbours(table: DataFrame, units: Units) -> DataFrame:
+    """word, block, at, n and packed neighbours by class, a row for each word of a block that is no head."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in _arrays(batch):
+                words, tokens, sizes = b["words"], b["tokens"], b["sizes"]
+                head = np.fromiter((w in units.heads for w in words.tolist()), bool, len(words))
+                cls = units.classes(words) - 1
+                inner = np.repeat(~b["held"].astype(bool), sizes)
+                inner[np.cumsum(sizes) - sizes] = False
+                now = np.flatnonzero(inner)
+                left, right = tokens[now - 1], tokens[now]
+                same = left == right
+                keys = np.concatenate((right[~same] * SLOTS + cls[left[~same]], left[~same] * SLOTS + CLASSES + cls[right[~same]], right[same] * SLOTS + 2 * CLASSES))
+                keys, n = np.unique(keys[~head[keys // SLOTS]], return_counts=True)
+                entry = np.empty(len(keys), _ENTRY)
+                entry["slot"], entry["n"] = keys % SLOTS, n
+                ends = np.searchsorted(keys, np.arange(len(words) + 1) * SLOTS)
+                at = np.flatnonzero(~head)
+                for part in np.split(at, range(PLACED, len(at), PLACED)):
+                    if len(part):
+                        # Heads have no entries, so those of the others are side by side.
+                        low, high = ends[part[0]], ends[part[-1] + 1]
+                        offsets = (np.append(ends[part], high) - low) * _ENTRY.itemsize
+                        packed = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets.astype("<i4").tobytes()), pa.py_buffer(entry[low:high].tobytes())])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(words[part], pa.string()), pa.array(np.full(len(part), b["block"])), pa.array(part.astype(np.int32)), pa.array(b["train"][part]), packed],
+                            ["word", "block", "at", "n", "near"],
+                        )
+
+    return table.select("block", "words", "train", "held", "sizes", "tokens").mapInArrow(each, "word string, block long, at int, n long, near binary")
+
+
+def assigned(rows: DataFrame, units: Units) -> DataFrame:
+    """block and packed places, counts, classes and first marks of its counted words, from :func:`neighbours`.
+
+    All rows of a word meet in one place, in a run; a word that training never
+    saw is left out. One row of each word has the first mark.
+    """
+    grid = units.grid[1:, 1:]
+
+    def decide(t: pa.Table) -> list[np.ndarray]:
+        words = t.column("word").combine_chunks()
+        starts = run_starts(words)
+        of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, t.num_rows)))
+        n = t.column("n").to_numpy()
+        total = np.add.reduceat(n, starts)
+        near = t.column("near").to_pylist()
+        entry = np.frombuffer(b"".join(near), _ENTRY)
+        key = np.repeat(of, np.fromiter(map(len, near), np.int64, len(near)) // _ENTRY.itemsize) * SLOTS + entry["slot"]
+        key, back = np.unique(key, return_inverse=True)
+        value = np.bincount(back, entry["n"], len(key))
+        own = units.unit_class[np.fromiter(map(tail_unit, words.take(pa.array(starts)).to_pylist()), np.int64, len(starts))] - 1
+        best = own.copy()
+        bounds = np.searchsorted(key, np.arange(len(starts) + 1) * SLOTS)
+        low = 0
+        while low < len(starts):
+            high = min(max(low + 1, int(np.searchsorted(bounds, bounds[low] + ENTRIES, side="right")) - 1), low + ENTRIES // 4, len(starts))
+            part = slice(bounds[low], bounds[high])
+            dense = np.zeros((high - low, SLOTS))
+            dense[key[part] // SLOTS - low, key[part] % SLOTS] = value[part]
+            best[low:high] = place(grid, own[low:high], dense[:, :CLASSES], dense[:, CLASSES:-1], dense[:, -1])
+            low = high
+        first = np.zeros(t.num_rows, np.uint8)
+        first[starts] = 1
+        seen = total[of] > 0
+        return [x[seen] for x in (t.column("block").to_numpy(), t.column("at").to_numpy(), total[of], (1 + best[of]).astype(np.uint8), first)]
+
+    def give_back(ready: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        block, *rest = (np.concatenate(x) for x in zip(*ready, strict=True))
+        order = np.argsort(block, kind="stable")
+        block, rest = block[order], [x[order] for x in rest]
+        cuts = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
+        packed = [pack_known(*(x[a:b] for x in rest)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(block[cuts[:-1]]), pa.array(packed, pa.binary())], ["block", "known"])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, rows, ready, size = [], 0, [], 0
+        for batch in batches:
+            waiting.append(batch)
+            rows += batch.num_rows
+            if rows < PLACED:
+                continue
+            t = pa.Table.from_batches(waiting)
+            last = int(run_starts(t.column("word").combine_chunks())[-1])  # its run may go on
+            if last:
+                ready.append(decide(t.slice(0, last)))
+                size += len(ready[-1][0])
+            waiting, rows = t.slice(last).to_batches(), t.num_rows - last
+            if size >= RETURNED:
+                yield from give_back(ready)
+                ready, size = [], 0
+        if rows:
+            ready.append(decide(pa.Table.from_batches(waiting)))
+        if ready:
+            yield from give_back(ready)
+
+    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(each, "block long, known binary")
+
+
+def run_starts(words: pa.Array) -> np.ndarray:
+    return np.concatenate(([0], 1 + np.flatnonzero(pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False))))
+
+
+_KNOWN = ("<u4", "<u8", "u1", "u1")
+
+
+def pack_known(*columns: np.ndarray) -> bytes:
+    """Columns of _KNOWN types, bytes of equal rank together, compressed."""
+    planes = (np.ascontiguousarray(c.astype(k)).view(np.uint8).reshape(len(c), -1).T.tobytes() for c, k in zip(columns, _KNOWN, strict=True))
+    return zstandard.compress(b"".join(planes), 3)
+
+
+def unpack_known(packed: bytes) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    sizes = [np.dtype(k).itemsize for k in _KNOWN]
+    n, at, out = len(planes) // sum(sizes), 0, []
+    for k, size in zip(_KNOWN, sizes, strict=True):
+        out.append(np.ascontiguousarray(planes[at : at + n * size].reshape(size, n).T).view(k).ravel())
+        at += n * size
+    return out
+
+
+def classed(table: DataFrame, units: Units) -> DataFrame:
+    """The blocks with class and training count of every word, and their bigrams and first marks by class."""
+    known = assigned(neighbours(table, units), units).groupBy("block").agg(F.collect_list("known").alias("known"))
+    side = CLASSES + 1
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, n = [], []
+            for w in batch.column("words").to_pylist():
+                unit = unit_numbers(np.array(w, object), units.heads)
+                of.append(units.unit_class[unit].astype(np.uint8).tobytes())
+                n.append(zstandard.compress(np.where(unit <= HEADS, units.head_count[np.minimum(unit, len(units.head_count) - 1)], 0).astype("<i8").tobytes(), 3))
+            batch = batch.set_column(batch.schema.get_field_index("words"), "classes", pa.array(of, pa.binary()))
+            yield batch.append_column("counts", pa.array(n, pa.binary()))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, n, pairs = [], [], []
+            for k, b in enumerate(_arrays(batch.drop_columns(["known"]))):
+                cls, count = np.frombuffer(b["classes"], np.uint8).copy(), np.frombuffer(zstandard.decompress(b["counts"]), "<i8").copy()
+                kinds = np.zeros(side, np.int64)
+                for packed in batch.column("known")[k].as_py() or ():
+                    at, total, best, first = unpack_known(packed)
+                    cls[at], count[at] = best, total
+                    kinds += np.bincount(best[first == 1], minlength=side)
+                of.append(cls.tobytes())
+                n.append(zstandard.compress(count.tobytes(), 3))
+                pairs.append(zstandard.compress(np.append(bigrams(cls.astype(np.int64)[b["tokens"]], b["sizes"], b["held"], side), kinds).tobytes(), 3))
+            columns = {c: batch.column(c) for c in ("doc_ids", "held", "sizes", "tokens")}
+            columns |= {"classes": pa.array(of, pa.binary()), "counts": pa.array(n, pa.binary()), "pairs": pa.array(pairs, pa.binary())}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    rest = "doc_ids array<long>, held array<boolean>, sizes array<long>, tokens binary"
+    inner = f"block long, classes binary, {rest}, counts binary"
+    begun = table.select("block", "words", "doc_ids", "held", "sizes", "tokens").mapInArrow(start, inner)
+    return begun.join(known, "block", "left").drop("block").mapInArrow(finish, f"{rest}, classes binary, counts binary, pairs binary")
+
+
+@dataclass(frozen=True)
+class ClassModel:
+    """moves: log10 P(class | class before); mass: log10 of each class's token and type count; tokens and types of training."""
+
+    moves: np.ndarray
+    mass: np.ndarray
+    tokens: int
+    types: int
+
+
+def model_of(done: DataFrame, units: Units) -> ClassModel:
+    """The model from :func:`classed`; the driver gets at most (CLASSES + 2) * (CLASSES + 1) counts."""
+    side = CLASSES + 1
+
+    def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(side * (side + 1), np.int64)
+        for batch in batches:
+            for packed in batch.column("pairs").to_pylist():
+                total += np.frombuffer(zstandard.decompress(packed), np.int64)
+        yield numbered(total)
+
+    total = np.zeros(side * (side + 1))
+    add_up(done.select("pairs").mapInArrow(sum_up, "at long, n long"), total)
+    grid = total[: side * side].reshape(side, side)
+    types = total[side * side :] + np.bincount(units.unit_class[1 : len(units.heads) + 1], minlength=side)
     follows = grid.sum(axis=0) + 0.1
     follows[0] = 0
     follows /= follows.sum()
     seen = grid.sum(axis=1, keepdims=True)
     kinds = (grid > 0).sum(axis=1, keepdims=True) + 1
     moves = (grid + kinds * follows) / (seen + kinds)  # Witten-Bell over the class unigrams
-    mass = np.log10(grid.sum(axis=0) + member.T @ types + 1)
+    mass = np.log10(grid.sum(axis=0) + types + 1)
     with np.errstate(divide="ignore"):
-        return ClassModel(heads, of, np.log10(moves), mass, int(whole["n"] or 0), int(whole["v"] or 0))
+        return ClassModel(np.log10(moves), mass, units.tokens, units.types)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -236,27 +485,17 @@ def score(docs: DataFrame) -> DataFrame:
     """
     marked = docs.select("doc_id", "text", F.coalesce(crc_fold(F.col("doc_id"), 7, 2), F.lit(False)).alias("held_out"))
     table = materialise(blocks(marked), "blocks")
-    rows = table.select("block", F.posexplode(F.arrays_zip("words", "train")).alias("at", "w")).select(
-        "block", "at", F.col("w.words").alias("word"), F.col("w.train").alias("n")
-    )
+    rows = table.select(F.explode(F.arrays_zip("words", "train")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.train").alias("n"))
     counts = materialise(rows.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    model = fit(table, counts)
-    # An absent count is zero, so only counted words travel back to their blocks.
-    known = rows.select("block", "at", "word").join(counts, "word").groupBy("block").agg(F.collect_list(F.struct("at", "n")).alias("known"))
-    known = known.select("block", F.col("known.at").alias("known_at"), F.col("known.n").alias("known_n"))
-
-    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of = [model.unit_class[unit_numbers(np.array(w, object), model.heads)].astype(np.uint8).tobytes() for w in batch.column("words").to_pylist()]
-            yield batch.set_column(batch.schema.get_field_index("words"), "classes", pa.array(of, pa.binary()))
+    units = fit(table, counts)
+    done = materialise(classed(table, units), "classed")
+    model = model_of(done, units)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in _arrays(batch):
                 word_class = np.frombuffer(b["classes"], np.uint8)
-                count = np.zeros(len(word_class))
-                if b["known_at"] is not None:
-                    count[b["known_at"]] = b["known_n"]
+                count = np.frombuffer(zstandard.decompress(b["counts"]), "<i8").astype(float)
                 tokens, sizes = b["tokens"], b["sizes"]
                 offsets = np.concatenate(([0], np.cumsum(sizes)))
                 emission = np.log10(count + 1) - model.mass[word_class]
@@ -280,6 +519,4 @@ def score(docs: DataFrame) -> DataFrame:
                 )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    inner = "block long, classes binary, doc_ids array<long>, held array<boolean>, sizes array<long>, tokens binary"
-    joined = table.select("block", "words", "doc_ids", "held", "sizes", "tokens").mapInArrow(classed, inner).join(known, "block", "left")
-    return joined.drop("block").mapInArrow(each, schema)
+    return done.drop("pairs").mapInArrow(each, schema)

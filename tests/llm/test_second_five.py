@@ -201,6 +201,41 @@ def test_exchange_climbs_to_a_local_best():
             assert likelihood(pairs, other) <= best + 1e-6
 
 
+def test_place_is_the_best_move_of_each_word():
+    rng = np.random.default_rng(3)
+    classes, n = 4, 60
+    pairs, of = rng.poisson(rng.random((n, n)) * 1.5).astype(float), rng.integers(0, 4, 60)
+    member = np.eye(classes)[of]
+    loop = np.diag(pairs).copy()
+    apart = pairs - np.diag(loop)
+    got = class_lm.place(member.T @ pairs @ member, of, apart.T @ member, apart @ member, loop)
+    assert (got != of).sum() > 10
+    for u in range(n):
+        value = [likelihood(pairs, np.where(np.arange(n) == u, c, of)) for c in range(classes)]
+        assert np.isclose(value[got[u]], max(value))
+
+
+def test_words_beyond_the_heads_are_clustered(spark):
+    """Rare words of two kinds with one ending: only their contexts tell them apart."""
+    rng = random.Random(8)
+    fronts = [[f"{a}front{k}" for k in range(4)] for a in "xy"]
+    often = [[f"{a}often{k}" for k in range(4)] for a in "xy"]
+    rare = [[f"{a}{k}ish" for k in range(30)] for a in "xy"]
+    filler = [f"filler{k}" for k in range(class_lm.HEADS - 17)]  # with these, the heads are full
+    text = [" ".join(rng.sample(filler, len(filler))) for _ in range(20)]
+    for _ in range(10):
+        for f, o, r in zip(fronts, often, rare):
+            text.append(" ".join(f"{rng.choice(f)} {w} {rng.choice(f)}" for w in rng.sample(r + o * 60, len(r) + 240)))
+    ids = [i for i in range(1000) if not fold(i, 7)]
+    held = [i for i in range(1000) if fold(i, 7)][:2]
+    own = " ".join(f"{fronts[0][0]} {w} {fronts[0][1]}" for w in rare[0])
+    crossed = " ".join(f"{fronts[0][0]} {w} {fronts[0][1]}" for w in rare[1])
+    df = spark.createDataFrame([*zip(ids, text), (held[0], own), (held[1], crossed)], "doc_id long, text string")
+    got = by_id(class_lm.score(df))
+    assert np.isclose(got[held[0]]["base_score"], got[held[1]]["base_score"])
+    assert got[held[0]]["score"] > got[held[1]]["score"] + 10
+
+
 def test_urls(spark):
     urls = [
         None, "", "no scheme", "http://com/en/1", "https://A.Example.COM/en/7?x=1", "http://sub.net/de/1", "http://x.example.net/de/88#a",
