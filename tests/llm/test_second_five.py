@@ -49,6 +49,34 @@ def test_codec(docs, rows, none):
     assert piece_codec.encode(none).count() == 0
 
 
+def test_dropout_differs_between_occurrences_and_copies(spark):
+    word = " internationalisation"
+    df = spark.createDataFrame([(i, word[1:] + word * 39) for i in range(4)], "doc_id long, text string")
+    got = by_id(piece_codec.encode(df, dropout=0.3))
+    assert len({r["ids"] for r in got.values()}) == 4 and all(r["lossless"] for r in got.values())
+    own = piece_codec.codec(piece_codec.VOCABULARY, 0.3, 1)
+    pieces, seen, at = np.frombuffer(got[0]["ids"], "<u4").tolist(), set(), []
+    for p in pieces:
+        if own.raw[p].startswith(b" ") and at:
+            seen.add(tuple(at))
+            at = []
+        at.append(p)
+    assert len(seen) > 10
+
+
+def test_merging_together_equals_one_agenda(rows):
+    own = piece_codec.codec(piece_codec.VOCABULARY, 0.2, 3)
+    texts = [t[:3000] for _, t in rows if t] + ["\ue000▁ a  b\n\n  ▁▁ 日本"]
+    names = [str(k) for k in range(len(texts))]
+    together = own.encode_all(texts, names)
+    before, piece_codec.TOGETHER = piece_codec.TOGETHER, 1
+    try:
+        assert own.encode_all(texts, names) == together
+    finally:
+        piece_codec.TOGETHER = before
+    assert [own.encode(t, k) for t, k in zip(texts, names)] == together
+
+
 def brute_forward(word, table, vocabulary, k):
     alpha = [1.0] + [0.0] * len(word)
     for j in range(1, len(word) + 1):
