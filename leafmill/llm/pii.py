@@ -47,7 +47,7 @@ _FURTHER = (
     ("ssn", re.compile(r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")),
 )
 _SPELLED = re.compile(r" (?:\(at\)|\[at\]) ([A-Za-z0-9-]{1,63}) (?:\(dot\)|\[dot\]|dot) ([A-Za-z]{2,24})\b")
-_KEYED = re.compile(r"\b(?:[Pp]assword|PASSWORD|passwd|[Tt]oken|TOKEN|[Ss]ecret|SECRET|api_?key|API_?KEY)\s{0,3}[=:]\s{0,3}(\"?)([A-Za-z0-9_+/-]{8,256})\1")
+_KEYED = re.compile(r"\b(?:[Pp]assword|PASSWORD|passwd|[Tt]oken|TOKEN|[Ss]ecret|SECRET|api_?key|API_?KEY)\s{0,3}[=:]\s{0,3}(\"?)([A-Za-z0-9_+/-]{8,}+)\1")
 _ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])")
 
 _ENDINGS = frozenset("com org net edu gov mil int info biz io co de fr es uk us eu it nl ch at be ca au jp cn in br ru pl se no dk fi pt".split())
@@ -132,6 +132,7 @@ def _further(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int
     if _DIGIT.search(text):
         for kind, pattern in _FURTHER:
             found += [(kind, *m.span()) for m in pattern.finditer(text)]
+    if "AKIA" in text:
         found += [("credential", *m.span()) for m in _ACCESS_KEY.finditer(text)]
     if "=" in text or ":" in text:
         found += [("credential", *m.span(2)) for m in _KEYED.finditer(text)]
