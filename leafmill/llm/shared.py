@@ -8,6 +8,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,7 +32,8 @@ TASKS_PER_CORE = 1
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) is a temporary folder made.
+    Where the session names none, a local master gets a temporary folder; a
+    cluster is an error, as no folder of one machine would do.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir")
@@ -38,28 +41,105 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = sc._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="leafmill-"))
         current = sc._jsc.sc().getCheckpointDir()
     return current.get().rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+#: Folders of intermediate tables by application, each made at its first use and deleted at exit.
+_SCRATCH: dict[str, str] = {}
+#: Intermediate tables, with the scope that they were made in.
+_MADE: list[tuple[str, str]] = []
+_SCOPE: list[str] = [""]
+
+
+@contextlib.contextmanager
+def scope(name: str) -> Iterator[None]:
+    """Tables made in here belong to ``name``, or to the scope around this one; :func:`sweep` deletes those of its own scope."""
+    _SCOPE.append(_SCOPE[-1] or name)
+    try:
+        yield
+    finally:
+        _SCOPE.pop()
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path below this application's own folder in the shared one."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = f"{shared_dir(spark)}/leafmill-{app}-{uuid.uuid4().hex}"
+        atexit.register(_forget, spark, app)
+    path = f"{_SCRATCH[app]}/{label}-{uuid.uuid4().hex}"
+    _MADE.append((_SCOPE[-1], path))
+    return path
+
+
+def _forget(spark: SparkSession, app: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before the interpreter
+        drop_path(spark, _SCRATCH[app])
+
+
+def _folders(tables: tuple[DataFrame, ...]) -> set[str]:
+    return {f.split("/")[-2] for df in tables for f in df.inputFiles()}
+
+
+def sweep(spark: SparkSession, *needed: DataFrame) -> None:
+    """Delete the intermediate tables of this scope, but for those that ``needed`` read.
+
+    For when all results that rest on the others have been written.
+    """
+    kept = _folders(needed)
+    _drop(spark, [x for x in _MADE if x[0] == _SCOPE[-1] and x[1].rpartition("/")[2] not in kept])
+
 
+def drop_tables(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete intermediate tables that :func:`materialise` returned and nothing reads any more."""
+    gone = _folders(tables)
+    _drop(spark, [x for x in _MADE if x[1].rpartition("/")[2] in gone])
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+
+def _drop(spark: SparkSession, made: list[tuple[str, str]]) -> None:
+    for x in made:
+        drop_path(spark, x[1])
+        _MADE.remove(x)
+
+
+def materialise(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return the table that was written.
 
-    For results that are large or whose rows must not be computed twice: a
-    lost executor can't change what was written.
+    This cuts the lineage: a lost executor can't change what was written, and
+    nothing before it runs twice.
     """
-    path = f"{shared_dir(df.sparkSession)}/leafmill-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = scratch(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def plain_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by their whole names, dots and all."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def numbered(docs: DataFrame, **more: Column) -> tuple[DataFrame, str]:
+    """``docs`` with columns ``more`` and a row number, written once, and that column's name.
+
+    Row numbers tell rows with one id or none apart; as they are written, every
+    later read has the same.
+    """
+    row = fresh(docs, "row_number_")
+    return materialise(docs.withColumns(more | {row: F.monotonically_increasing_id()}), "numbered"), row
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path of any file system that Spark knows."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -154,3 +234,8 @@ LOWER_TABLE = _UPPER.tobytes()
 def lower_bytes(words: list[str]) -> list[bytes]:
     """UTF-8 of words with A to Z lower-cased; other letters keep their case."""
     return [w.encode().translate(LOWER_TABLE) for w in words]
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a table in the shared folder."""
+    return materialise(df)
