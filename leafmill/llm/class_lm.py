@@ -1,18 +1,18 @@
 """Class-based n-gram language model after Brown: exchange clustering, class bigrams, word emissions.
 
 Texts are cut into blocks of bounded size. A block's words are numbered once,
-so what is shuffled is a row for each distinct word of a block, not one for
-each token: word counts over the whole corpus come from those rows, and go
-back to the blocks by a join, whatever the vocabulary's size.
+in the order of their *buckets* (by a hash of the word), so what is shuffled is
+a packed row for each bucket of a block, not one for each token or word. All
+rows of a bucket meet in one place, where its share of the vocabulary is put
+together; what is found goes back to the blocks, whatever the vocabulary's size.
 
 Exchange clustering starts on *units*: the commonest words, each its own unit,
 and tail units by a hash of a word's last letters, which hold all other words.
 Unit bigrams are counted over the whole training corpus; their table has a
 fixed size, so this runs on the driver. Then every other training word leaves
 its tail unit, by itself, for the class that the exchange would move it to by
-the classes of all its neighbours. Those counts are a distributed table by
-word; what is decided goes back to the blocks, and class bigrams are counted
-anew. Only a word that training never saw has its tail unit's class. P(text) is
+the classes of all its neighbours, which its bucket has counted; class bigrams
+are counted anew. Only a word that training never saw has its tail unit's class. P(text) is
 the product over tokens of P(class | class before) and P(word | class).
 """
 
@@ -30,11 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import crc_fold, lower_bytes, materialise, slices, spread, sums, words_of
+from .shared import crc_fold, drop_tables, lower_bytes, materialise, slices, spread, sums, words_of
 
 #: Characters of text in a block, unless one text is longer.
 BLOCK = 6_000_000
-#: Commonest words that are units of their own; tail units; classes; passes of the exchange.
+#: Commonest words that are units of their own, at most; tail units; classes; passes of the exchange.
 HEADS, TAILS, CLASSES, PASSES = 600, 200, 48, 8
 #: The end of a text, a token that no text holds.
 END = " "
@@ -45,18 +45,32 @@ def tail_unit(word: str) -> int:
     return HEADS + 1 + zlib.crc32(word[-2:].encode("utf-8", "replace")) % TAILS
 
 
-def squeeze(numbers: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, byte by byte of equal rank, compressed."""
-    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+def pack(*columns: np.ndarray | bytes) -> bytes:
+    """Columns, bytes of equal rank together, compressed; :func:`unpack` needs their types."""
+    raw = [c if isinstance(c, bytes) else np.ascontiguousarray(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns]
+    return zstandard.compress(np.array([len(x) for x in raw], "<u8").tobytes() + b"".join(raw), 3)
 
 
-def unsqueeze(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+def unpack(packed: bytes, *kinds: str) -> list:
+    """The columns that :func:`pack` was given; of kind "" is one that was bytes."""
+    raw = zstandard.decompress(packed)
+    out, at = [], 8 * len(kinds)
+    for kind, size in zip(kinds, np.frombuffer(raw, "<u8", len(kinds)).tolist(), strict=True):
+        part = raw[at : at + size]
+        if kind:
+            width = np.dtype(kind).itemsize
+            part = np.ascontiguousarray(np.frombuffer(part, np.uint8).reshape(width, -1).T).view(kind).ravel()
+        out.append(part)
+        at += size
+    return out
+
+
+def bucket_numbers(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
 
 
-def blocks(docs: DataFrame, limit: int = BLOCK) -> DataFrame:
-    """A row for each block: its words, their training counts, and its documents as word numbers.
+def blocks(docs: DataFrame, buckets: int, limit: int = BLOCK) -> DataFrame:
+    """A row for each block: its words by bucket, their training counts, and its documents as word numbers.
 
     Null texts are empty. Column ``held_out`` must be there.
     """
@@ -68,25 +82,31 @@ def blocks(docs: DataFrame, limit: int = BLOCK) -> DataFrame:
                 offsets, ids, distinct = words_of(batch.column("text"))
                 number_of: dict[bytes, int] = {}
                 to = np.fromiter((number_of.setdefault(w, len(number_of)) for w in lower_bytes([*distinct.to_pylist(), END])), np.int64, len(distinct) + 1)
+                words = pa.array(list(number_of), pa.binary())
+                order = pc.sort_indices(words).to_numpy()
+                order = order[np.argsort(bucket_numbers(list(number_of), buckets)[order], kind="stable")]
+                place_of = np.empty(len(order), np.int64)
+                place_of[order] = np.arange(len(order))
+                to = place_of[to]
                 n = batch.num_rows
                 tokens = np.empty(len(ids) + n, np.int64)
                 ends = offsets[1:] + np.arange(n)
                 inner = np.ones(len(tokens), bool)
                 inner[ends] = False
                 tokens[inner], tokens[ends] = to[:-1][ids], to[-1]
-                held = batch.column("held_out").to_numpy(zero_copy_only=False)
+                held = batch.column("held_out")
                 sizes = np.diff(offsets) + 1
-                train = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(number_of))
-                one = lambda values, kind: pa.array([values], pa.list_(kind))
+                train = np.bincount(tokens[np.repeat(~held.to_numpy(zero_copy_only=False), sizes)], minlength=len(number_of))
+                one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([number], pa.int64()),
-                        one([w.decode() for w in number_of], pa.string()),
-                        one(train, pa.int64()),
-                        one(batch.column("doc_id").to_pylist(), pa.int64()),
-                        one(held, pa.bool_()),
-                        one(sizes, pa.int64()),
-                        pa.array([squeeze(tokens)], pa.binary()),
+                        one(words.take(pa.array(order)).cast(pa.string())),
+                        one(pa.array(train, pa.int64())),
+                        one(batch.column("doc_id")),
+                        one(held),
+                        one(pa.array(sizes, pa.int64())),
+                        pa.array([pack(tokens.astype("<u4"))], pa.binary()),
                     ],
                     ["block", "words", "train", "doc_ids", "held", "sizes", "tokens"],
                 )
@@ -96,10 +116,17 @@ def blocks(docs: DataFrame, limit: int = BLOCK) -> DataFrame:
     return spread(docs.select("doc_id", "text", "held_out")).mapInArrow(cut_up, schema)
 
 
-def _arrays(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
+def _arrays(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of blocks with lists as arrays; ids stay Arrow's, as they may be null."""
     for k in range(batch.num_rows):
-        row = {n: batch.column(n)[k] for n in batch.schema.names}
-        out = {n: unsqueeze(v.as_py()) if n == "tokens" else v.values.to_numpy(zero_copy_only=False) if isinstance(v, pa.ListScalar) else v.as_py() for n, v in row.items()}
+        out = {n: batch.column(n)[k] for n in batch.schema.names}
+        for n, v in out.items():
+            if n == "tokens":
+                out[n] = unpack(v.as_py(), "<u4")[0].astype(np.int64)
+            elif n == "doc_ids":
+                out[n] = v.values
+            else:
+                out[n] = v.values.to_numpy(zero_copy_only=False) if isinstance(v, pa.ListScalar) else v.as_py()
         yield out
 
 
@@ -163,9 +190,10 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, passes: int = PASSES) ->
 
 #: A word's neighbours by class: those before, those after, itself after itself.
 SLOTS = 2 * CLASSES + 1
-_ENTRY = np.dtype([("slot", "u1"), ("n", "<u4")])
-#: Rows that are placed together, at least; words' entries in one computation; rows that go back to the blocks together.
-PLACED, ENTRIES, RETURNED = 60_000, 20_000, 500_000
+#: Neighbour counts that a bucket holds before equal ones are added up; those in one computation.
+HELD, ENTRIES = 2_000_000, 20_000
+#: Buckets to a shuffle partition.
+BUCKETS = 4
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
@@ -227,13 +255,32 @@ class Units:
         return self.unit_class[unit_numbers(words, self.heads)]
 
 
+def commonest(counts: DataFrame, size: int = HEADS) -> list[tuple[str, int]]:
+    """(word, n) of the commonest words, at most ``size``, by count and word.
+
+    Counts fall into classes a sixteenth of a power of two wide; all words of
+    the highest classes that together have at most ``size`` are taken. So the
+    driver gets a row for each class and then those words, never a list from
+    every task.
+    """
+    classed_ = counts.withColumn("class", F.floor(F.log2("n") * 16).cast("int"))
+    left, least = size, None
+    for r in sorted(classed_.groupBy("class").agg(F.count("*").alias("n")).collect(), reverse=True):
+        left -= r["n"]
+        if left < 0:
+            break
+        least = r["class"]
+    found = [] if least is None else classed_.where(F.col("class") >= least).select("word", "n").collect()
+    return sorted(((r["word"], r["n"]) for r in found), key=lambda x: (-x[1], x[0]))
+
+
 def fit(table: DataFrame, counts: DataFrame) -> Units:
     """Classes of units from :func:`blocks` and its word counts (word, n), all training tokens of all blocks.
 
     The driver gets HEADS words and at most (HEADS + TAILS + 2)**2 unit bigrams.
     """
-    top = counts.orderBy(F.desc("n"), "word").limit(HEADS).collect()
-    heads = {r["word"]: k for k, r in enumerate(top, 1)}
+    top = commonest(counts)
+    heads = {word: k for k, (word, _) in enumerate(top, 1)}
     units = HEADS + TAILS + 1
     whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
 
@@ -251,7 +298,7 @@ def fit(table: DataFrame, counts: DataFrame) -> Units:
     of = np.zeros(units, np.int64)
     of[1:] = 1 + exchange(pairs[1:, 1:])  # the start is a class of its own
     member = np.eye(CLASSES + 1)[of]
-    count = np.array([0, *(r["n"] for r in top)], np.int64)
+    count = np.array([0, *(n for _, n in top)], np.int64)
     return Units(heads, count, of, member.T @ pairs @ member, int(whole["n"] or 0), int(whole["v"] or 0))
 
 
@@ -274,15 +321,21 @@ def add_up(partial: DataFrame, total: np.ndarray) -> None:
         total[batch.column("at").to_numpy()] = batch.column("n").to_numpy()
 
 
-def neighbours(table: DataFrame, units: Units) -> DataFrame:
-    """word, block, at, n and packed neighbours by class, a row for each word of a block that is no head."""
+#: Packed words of a bucket: the words, training counts, numbers of entries, then the entries' slots and counts.
+_NEAR = ("", "<u4", "u1", "u1", "<u4")
+#: What goes back: training counts and classes.
+_KNOWN = ("<u8", "u1")
+
+
+def neighbours(table: DataFrame, units: Units, buckets: int) -> DataFrame:
+    """bucket, block, start (number of the first word) and near, packed words with their neighbours by class; heads have none."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in _arrays(batch):
-                words, tokens, sizes = b["words"], b["tokens"], b["sizes"]
-                head = np.fromiter((w in units.heads for w in words.tolist()), bool, len(words))
-                cls = units.classes(words) - 1
+                words, tokens, sizes = b["words"].tolist(), b["tokens"], b["sizes"]
+                head = np.fromiter((w in units.heads for w in words), bool, len(words))
+                cls = units.classes(b["words"]) - 1
                 inner = np.repeat(~b["held"].astype(bool), sizes)
                 inner[np.cumsum(sizes) - sizes] = False
                 now = np.flatnonzero(inner)
@@ -290,150 +343,137 @@ def neighbours(table: DataFrame, units: Units) -> DataFrame:
                 same = left == right
                 keys = np.concatenate((right[~same] * SLOTS + cls[left[~same]], left[~same] * SLOTS + CLASSES + cls[right[~same]], right[same] * SLOTS + 2 * CLASSES))
                 keys, n = np.unique(keys[~head[keys // SLOTS]], return_counts=True)
-                entry = np.empty(len(keys), _ENTRY)
-                entry["slot"], entry["n"] = keys % SLOTS, n
-                ends = np.searchsorted(keys, np.arange(len(words) + 1) * SLOTS)
-                at = np.flatnonzero(~head)
-                for part in np.split(at, range(PLACED, len(at), PLACED)):
-                    if len(part):
-                        # Heads have no entries, so those of the others are side by side.
-                        low, high = ends[part[0]], ends[part[-1] + 1]
-                        offsets = (np.append(ends[part], high) - low) * _ENTRY.itemsize
-                        packed = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets.astype("<i4").tobytes()), pa.py_buffer(entry[low:high].tobytes())])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(words[part], pa.string()), pa.array(np.full(len(part), b["block"])), pa.array(part.astype(np.int32)), pa.array(b["train"][part]), packed],
-                            ["word", "block", "at", "n", "near"],
-                        )
-
-    return table.select("block", "words", "train", "held", "sizes", "tokens").mapInArrow(each, "word string, block long, at int, n long, near binary")
-
-
-def assigned(rows: DataFrame, units: Units) -> DataFrame:
-    """block and packed places, counts, classes and first marks of its counted words, from :func:`neighbours`.
+                word, slot = np.divmod(keys, SLOTS)
+                ends = np.searchsorted(word, np.arange(len(words) + 1))
+                many = np.diff(ends)
+                raw = [w.encode() for w in words]
+                of = bucket_numbers(raw, buckets)
+                cuts = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(words))
+                near = [
+                    pack(b"\n".join(raw[i:j]), b["train"][i:j].astype("<u4"), many[i:j].astype("u1"), slot[ends[i] : ends[j]].astype("u1"), n[ends[i] : ends[j]].astype("<u4"))
+                    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(of[cuts[:-1]]), pa.array(np.full(len(near), b["block"])), pa.array(cuts[:-1].astype(np.int32)), pa.array(near, pa.binary())],
+                    ["bucket", "block", "start", "near"],
+                )
 
-    All rows of a word meet in one place, in a run; a word that training never
-    saw is left out. One row of each word has the first mark.
-    """
-    grid = units.grid[1:, 1:]
-
-    def decide(t: pa.Table) -> list[np.ndarray]:
-        words = t.column("word").combine_chunks()
-        starts = run_starts(words)
-        of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, t.num_rows)))
-        n = t.column("n").to_numpy()
-        total = np.add.reduceat(n, starts)
-        near = t.column("near").to_pylist()
-        entry = np.frombuffer(b"".join(near), _ENTRY)
-        key = np.repeat(of, np.fromiter(map(len, near), np.int64, len(near)) // _ENTRY.itemsize) * SLOTS + entry["slot"]
-        key, back = np.unique(key, return_inverse=True)
-        value = np.bincount(back, entry["n"], len(key))
-        own = units.unit_class[np.fromiter(map(tail_unit, words.take(pa.array(starts)).to_pylist()), np.int64, len(starts))] - 1
+    return table.select("block", "words", "train", "held", "sizes", "tokens").mapInArrow(each, "bucket long, block long, start int, near binary")
+
+
+class Bucket:
+    """A share of the vocabulary, put together from the rows of all blocks."""
+
+    def __init__(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.rows: list[tuple[int, int, np.ndarray]] = []
+        self.counts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.keys: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, block: int, start: int, near: bytes) -> None:
+        words, n, many, slot, times = unpack(near, *_NEAR)
+        number = self.number
+        own = np.fromiter((number.setdefault(w, len(number)) for w in words.split(b"\n")), np.int32, len(n))
+        self.rows.append((block, start, own))
+        self.counts.append((own, n))
+        self.keys.append((np.repeat(own.astype(np.int64), many) * SLOTS + slot, times.astype(np.int64)))
+        self.size += len(slot) + len(own)
+        if self.size > HELD:
+            self.merge()
+
+    def merge(self) -> None:
+        """Add equal counts up, so that what is held depends on the words and not on the blocks."""
+        number, n = (np.concatenate(x) for x in zip(*self.counts, strict=True))
+        key, times = (np.concatenate(x) for x in zip(*self.keys, strict=True))
+        total = np.zeros(len(self.number), np.int64)
+        np.add.at(total, number, n.astype(np.int64))
+        self.counts = [(np.arange(len(total), dtype=np.int32), total)]
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], times[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.keys = [(key[first], np.add.reduceat(times, first) if len(first) else times)]
+        self.size = 0
+
+    def decide(self, units: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Training count and class of each word, and how many training types beside the heads each class has."""
+        self.merge()
+        (_, total), (key, times) = self.counts[0], self.keys[0]
+        words = [w.decode() for w in self.number]
+        unit = unit_numbers(np.array(words, object), units.heads)
+        head = unit <= HEADS
+        own = units.unit_class[unit] - 1
         best = own.copy()
-        bounds = np.searchsorted(key, np.arange(len(starts) + 1) * SLOTS)
+        bounds = np.searchsorted(key, np.arange(len(words) + 1) * SLOTS)
         low = 0
-        while low < len(starts):
-            high = min(max(low + 1, int(np.searchsorted(bounds, bounds[low] + ENTRIES, side="right")) - 1), low + ENTRIES // 4, len(starts))
+        while low < len(words):
+            high = min(max(low + 1, int(np.searchsorted(bounds, bounds[low] + ENTRIES, side="right")) - 1), low + ENTRIES // 4, len(words))
             part = slice(bounds[low], bounds[high])
             dense = np.zeros((high - low, SLOTS))
-            dense[key[part] // SLOTS - low, key[part] % SLOTS] = value[part]
-            best[low:high] = place(grid, own[low:high], dense[:, :CLASSES], dense[:, CLASSES:-1], dense[:, -1])
+            dense[key[part] // SLOTS - low, key[part] % SLOTS] = times[part]
+            best[low:high] = place(units.grid[1:, 1:], own[low:high], dense[:, :CLASSES], dense[:, CLASSES:-1], dense[:, -1])
             low = high
-        first = np.zeros(t.num_rows, np.uint8)
-        first[starts] = 1
-        seen = total[of] > 0
-        return [x[seen] for x in (t.column("block").to_numpy(), t.column("at").to_numpy(), total[of], (1 + best[of]).astype(np.uint8), first)]
-
-    def give_back(ready: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        block, *rest = (np.concatenate(x) for x in zip(*ready, strict=True))
-        order = np.argsort(block, kind="stable")
-        block, rest = block[order], [x[order] for x in rest]
-        cuts = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
-        packed = [pack_known(*(x[a:b] for x in rest)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(block[cuts[:-1]]), pa.array(packed, pa.binary())], ["block", "known"])
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, rows, ready, size = [], 0, [], 0
-        for batch in batches:
-            waiting.append(batch)
-            rows += batch.num_rows
-            if rows < PLACED:
-                continue
-            t = pa.Table.from_batches(waiting)
-            last = int(run_starts(t.column("word").combine_chunks())[-1])  # its run may go on
-            if last:
-                ready.append(decide(t.slice(0, last)))
-                size += len(ready[-1][0])
-            waiting, rows = t.slice(last).to_batches(), t.num_rows - last
-            if size >= RETURNED:
-                yield from give_back(ready)
-                ready, size = [], 0
-        if rows:
-            ready.append(decide(pa.Table.from_batches(waiting)))
-        if ready:
-            yield from give_back(ready)
-
-    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(each, "block long, known binary")
-
-
-def run_starts(words: pa.Array) -> np.ndarray:
-    return np.concatenate(([0], 1 + np.flatnonzero(pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False))))
-
-
-_KNOWN = ("<u4", "<u8", "u1", "u1")
-
+        learned = ~head & (total > 0)
+        cls = 1 + np.where(learned, best, own)
+        return total, cls.astype(np.uint8), np.bincount(cls[learned], minlength=CLASSES + 1)
 
-def pack_known(*columns: np.ndarray) -> bytes:
-    """Columns of _KNOWN types, bytes of equal rank together, compressed."""
-    planes = (np.ascontiguousarray(c.astype(k)).view(np.uint8).reshape(len(c), -1).T.tobytes() for c, k in zip(columns, _KNOWN, strict=True))
-    return zstandard.compress(b"".join(planes), 3)
-
-
-def unpack_known(packed: bytes) -> list[np.ndarray]:
-    planes = np.frombuffer(zstandard.decompress(packed), np.uint8)
-    sizes = [np.dtype(k).itemsize for k in _KNOWN]
-    n, at, out = len(planes) // sum(sizes), 0, []
-    for k, size in zip(_KNOWN, sizes, strict=True):
-        out.append(np.ascontiguousarray(planes[at : at + n * size].reshape(size, n).T).view(k).ravel())
-        at += n * size
-    return out
 
+def assigned(rows: DataFrame, units: Units) -> DataFrame:
+    """block, start, known (packed training counts and classes of the words from ``start`` on) and kinds, from :func:`neighbours`.
 
-def classed(table: DataFrame, units: Units) -> DataFrame:
-    """The blocks with class and training count of every word, and their bigrams and first marks by class."""
-    known = assigned(neighbours(table, units), units).groupBy("block").agg(F.collect_list("known").alias("known"))
-    side = CLASSES + 1
+    A head has its unit's class, and so has a word that training never saw. One
+    row of each bucket has ``kinds``, the numbers of its training types by class.
+    """
 
-    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def end() -> pa.RecordBatch:
+            total, cls, kinds = bucket.decide(units)
+            known = [pack(total[own].astype("<u8"), cls[own]) for _, _, own in bucket.rows]
+            block, start = (np.array([x[k] for x in bucket.rows], np.int64) for k in (0, 1))
+            types = [kinds.astype("<i8").tobytes(), *[None] * (len(known) - 1)]
+            return pa.RecordBatch.from_arrays([pa.array(block), pa.array(start), pa.array(known, pa.binary()), pa.array(types, pa.binary())], ["block", "start", "known", "kinds"])
+
+        before, bucket = None, Bucket()
         for batch in batches:
-            of, n = [], []
-            for w in batch.column("words").to_pylist():
-                unit = unit_numbers(np.array(w, object), units.heads)
-                of.append(units.unit_class[unit].astype(np.uint8).tobytes())
-                n.append(zstandard.compress(np.where(unit <= HEADS, units.head_count[np.minimum(unit, len(units.head_count) - 1)], 0).astype("<i8").tobytes(), 3))
-            batch = batch.set_column(batch.schema.get_field_index("words"), "classes", pa.array(of, pa.binary()))
-            yield batch.append_column("counts", pa.array(n, pa.binary()))
+            for now, block, start, near in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if before not in (None, now):
+                    yield end()
+                    bucket = Bucket()
+                bucket.add(block, start, near)
+                before = now
+        if before is not None:
+            yield end()
+
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(each, "block long, start long, known binary, kinds binary")
+
+
+def classed(table: DataFrame, units: Units, buckets: int) -> DataFrame:
+    """The blocks with class and training count of every word, and their bigrams and types by class."""
+    known = assigned(neighbours(table, units, buckets), units)
+    known = known.groupBy("block").agg(F.collect_list(F.struct("start", "known", "kinds")).alias("parts"))
+    side = CLASSES + 1
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, n, pairs = [], [], []
-            for k, b in enumerate(_arrays(batch.drop_columns(["known"]))):
-                cls, count = np.frombuffer(b["classes"], np.uint8).copy(), np.frombuffer(zstandard.decompress(b["counts"]), "<i8").copy()
+            words, pairs = [], []
+            for k, b in enumerate(_arrays(batch.drop_columns(["parts"]))):
                 kinds = np.zeros(side, np.int64)
-                for packed in batch.column("known")[k].as_py() or ():
-                    at, total, best, first = unpack_known(packed)
-                    cls[at], count[at] = best, total
-                    kinds += np.bincount(best[first == 1], minlength=side)
-                of.append(cls.tobytes())
-                n.append(zstandard.compress(count.tobytes(), 3))
-                pairs.append(zstandard.compress(np.append(bigrams(cls.astype(np.int64)[b["tokens"]], b["sizes"], b["held"], side), kinds).tobytes(), 3))
+                total, cls = [], []
+                for part in sorted(batch.column("parts")[k].as_py(), key=lambda x: x["start"]):
+                    n, c = unpack(part["known"], *_KNOWN)
+                    total.append(n)
+                    cls.append(c)
+                    if part["kinds"] is not None:
+                        kinds += np.frombuffer(part["kinds"], "<i8")
+                cls = np.concatenate(cls)
+                words.append(pack(np.concatenate(total), cls))
+                pairs.append(pack(np.append(bigrams(cls.astype(np.int64)[b["tokens"]], b["sizes"], b["held"], side), kinds).astype("<i8")))
             columns = {c: batch.column(c) for c in ("doc_ids", "held", "sizes", "tokens")}
-            columns |= {"classes": pa.array(of, pa.binary()), "counts": pa.array(n, pa.binary()), "pairs": pa.array(pairs, pa.binary())}
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_pydict(columns | {"words": pa.array(words, pa.binary()), "pairs": pa.array(pairs, pa.binary())})
 
     rest = "doc_ids array<long>, held array<boolean>, sizes array<long>, tokens binary"
-    inner = f"block long, classes binary, {rest}, counts binary"
-    begun = table.select("block", "words", "doc_ids", "held", "sizes", "tokens").mapInArrow(start, inner)
-    return begun.join(known, "block", "left").drop("block").mapInArrow(finish, f"{rest}, classes binary, counts binary, pairs binary")
+    begun = table.select("block", "doc_ids", "held", "sizes", "tokens")
+    return begun.join(known, "block").drop("block").mapInArrow(finish, f"{rest}, words binary, pairs binary")
 
 
 @dataclass(frozen=True)
@@ -454,7 +494,7 @@ def model_of(done: DataFrame, units: Units) -> ClassModel:
         total = np.zeros(side * (side + 1), np.int64)
         for batch in batches:
             for packed in batch.column("pairs").to_pylist():
-                total += np.frombuffer(zstandard.decompress(packed), np.int64)
+                total += unpack(packed, "<i8")[0]
         yield numbered(total)
 
     total = np.zeros(side * (side + 1))
@@ -477,25 +517,28 @@ def score(docs: DataFrame) -> DataFrame:
 
     Rows whose crc32(doc_id as text) mod 7 is 2 are held out from all that is
     learned; a null doc_id is not. Null and empty texts are the end token
-    alone. Repeated rows are learned from and scored each. Other columns of
-    ``docs`` aren't read; an empty table gives an empty result. ``score`` is
+    alone. Repeated rows are learned from and scored each. Ids of any size, and
+    null ones, come back as they are. Other columns of ``docs`` aren't read,
+    whatever their names; an empty table gives an empty result. ``score`` is
     the log10 probability by the class model, in which a word with no count has
     the share of one more word of its class; ``base_score`` that by add-one
     unigrams.
     """
     marked = docs.select("doc_id", "text", F.coalesce(crc_fold(F.col("doc_id"), 7, 2), F.lit(False)).alias("held_out"))
-    table = materialise(blocks(marked), "blocks")
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = materialise(blocks(marked, buckets), "blocks")
     rows = table.select(F.explode(F.arrays_zip("words", "train")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.train").alias("n"))
     counts = materialise(rows.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     units = fit(table, counts)
-    done = materialise(classed(table, units), "classed")
+    done = materialise(classed(table, units, buckets), "classed")
+    drop_tables(docs.sparkSession, table, counts)
     model = model_of(done, units)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in _arrays(batch):
-                word_class = np.frombuffer(b["classes"], np.uint8)
-                count = np.frombuffer(zstandard.decompress(b["counts"]), "<i8").astype(float)
+                count, word_class = unpack(b["words"], *_KNOWN)
+                count, word_class = count.astype(float), word_class.astype(np.int64)
                 tokens, sizes = b["tokens"], b["sizes"]
                 offsets = np.concatenate(([0], np.cumsum(sizes)))
                 emission = np.log10(count + 1) - model.mass[word_class]
@@ -507,7 +550,7 @@ def score(docs: DataFrame) -> DataFrame:
                 base = np.log10(count + 1) - np.log10(model.tokens + model.types + 1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(b["doc_ids"] if b["doc_ids"].dtype != float else [None if np.isnan(x) else int(x) for x in b["doc_ids"]], pa.int64()),
+                        b["doc_ids"],
                         pa.array(b["held"].astype(bool)),
                         pa.array(sizes),
                         pa.array(sums((count[tokens] > 0).astype(np.int64), offsets)),
