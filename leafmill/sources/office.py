@@ -1,8 +1,10 @@
 """Readers of workbooks and word-processor files, from their zipped XML.
 
 Files come as binary rows and are parsed in Arrow batches, one file at a time;
-cached values and formulas are read in one pass. A file that can't be read
-gives one row in ``errors`` and nothing else, and never fails a batch.
+cached values and formulas are read in one pass. A file that can't be read,
+for whatever reason, gives one row in ``errors`` and nothing else, and never
+fails a batch. What a batch of files holds is parsed once and written as one
+nested table, from which cells, merges and errors are read.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import extension, stem
+from leafmill.sources import scratch
 
 CELLS = (
     "doc_id string, sheet_ix int, sheet string, row int, col int, kind string, num double, text string, "
@@ -36,6 +39,7 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 # Fixed values of the file format: built-in number formats that hold a comma or a date.
 _BUILT_IN = {3: "#,##0", 4: "#,##0.00", 37: "#,##0 ;(#,##0)", 38: "#,##0 ;[Red](#,##0)", 39: "#,##0.00;(#,##0.00)", 40: "#,##0.00;[Red](#,##0.00)"}
 _BUILT_IN |= {14: "mm-dd-yy", 15: "d-mmm-yy", 16: "d-mmm", 17: "mmm-yy", 22: "m/d/yy h:mm"}
+_BUILT_IN |= {18: "h:mm AM/PM", 19: "h:mm:ss AM/PM", 20: "h:mm", 21: "h:mm:ss", 45: "mm:ss", 46: "[h]:mm:ss", 47: "mmss.0"}
 
 
 def files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
@@ -71,13 +75,23 @@ def _formats(z: zipfile.ZipFile) -> list[str]:
     return [own.get(n) or _BUILT_IN.get(n, "General") for n in (int(x.get("numFmtId", 0)) for xs in root.iter(f"{_MAIN}cellXfs") for x in xs)]
 
 
-def _is_date(number_format: str) -> bool:
-    return bool(re.search("[ymdYMD]", re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", number_format))) and number_format != "General"
+def _shows(number_format: str) -> str | None:
+    """moment, elapsed or None: what a number of this format is. Quoted and escaped letters, colours and locales don't count."""
+    first = re.sub(r'"[^"]*"|[\\_].', "", number_format.split(";")[0])
+    if re.search(r"\[(?:hh?|mm?|ss?)\]", first, re.IGNORECASE):
+        return "elapsed"
+    return "moment" if re.search("[dmhys]", re.sub(r"\[[^\]]*\]", "", first), re.IGNORECASE) else None
 
 
-def _moment(serial: float, from_1904: bool) -> dt.datetime | None:
+def _moment(serial: float, from_1904: bool) -> dt.datetime | dt.time | None:
+    """A serial number of days to the millisecond: a time of day below 1, else a moment; below 60 it counts without the day that never was."""
+    span = dt.timedelta(milliseconds=round(serial * 86_400_000)) if abs(serial) < 3_000_000 else None
+    if span is None:
+        return None
+    if 0 <= serial < 1 and not span.days:
+        return (dt.datetime.min + span).time()
     try:
-        return (dt.datetime(1904, 1, 1) if from_1904 else dt.datetime(1899, 12, 30)) + dt.timedelta(days=serial)
+        return (dt.datetime(1904, 1, 1) if from_1904 else dt.datetime(1899, 12, 30) + dt.timedelta(days=0 < serial < 60)) + span
     except OverflowError:
         return None
 
@@ -128,8 +142,15 @@ def _value(c: ET.Element, shown: str, strings: list[str], from_1904: bool) -> tu
     if kind == "d":
         return "date", None, None, dt.datetime.fromisoformat(raw.replace("Z", "")), None, shown, formula
     if kind == "n":
-        day = _moment(float(raw), from_1904) if _is_date(shown) else None
-        return ("date", None, None, day, None, shown, formula) if day else ("num", float(raw), None, None, None, shown, formula)
+        number, how = float(raw), _shows(shown)
+        if how == "elapsed":
+            return "text", None, str(dt.timedelta(milliseconds=round(number * 86_400_000))), None, None, shown, formula
+        at = _moment(number, from_1904) if how else None
+        if isinstance(at, dt.time):
+            return "text", None, str(at), None, None, shown, formula
+        if at is not None:
+            return "date", None, None, at, None, shown, formula
+        return "num", number, None, None, None, shown, formula
     return "text", None, raw, None, None, shown, formula
 
 
@@ -194,27 +215,34 @@ def document(content: bytes) -> tuple[list[tuple], list[tuple]]:
 
 
 def _parsed(binary: DataFrame, parse: Callable, schemas: tuple[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The two tables of a parser and the files that it can't read. A file is parsed for each table that is used."""
-
-    def reader(which: int, schema: str) -> DataFrame:
-        kinds = binary.sparkSession.createDataFrame([], schema).schema
-
-        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            from pyspark.sql.pandas.types import to_arrow_schema
-
-            arrow = to_arrow_schema(kinds)
-            for batch in batches:
-                for doc, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    try:
-                        rows = () if which == 2 and parse(content) else parse(content)[which]
-                    except (zipfile.BadZipFile, ET.ParseError, KeyError, ValueError, AttributeError, IndexError, TypeError) as e:
-                        rows = [(f"{type(e).__name__}: {e}"[:500],)] if which == 2 else ()
-                    columns = list(zip(*((doc, *r) for r in rows), strict=True)) or [()] * len(arrow)
-                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, arrow, strict=True)], schema=arrow)
-
-        return binary.select(F.col("doc_id").cast("string").alias("doc_id"), "content").mapInArrow(each, kinds)
-
-    return reader(0, schemas[0]), reader(1, schemas[1]), reader(2, ERRORS)
+    """The two tables of a parser and the files that it can't read. Files are parsed once, and the result is written.
+
+    Whatever goes wrong in a file (a broken or encrypted archive, an unknown
+    compression, markup that ends early) is that file's row in ``errors``.
+    """
+    spark = binary.sparkSession
+    kinds = [spark.createDataFrame([], s).schema for s in schemas]
+    rows = [f"array<struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in k.fields[1:])}>>" for k in kinds]
+    schema = spark.createDataFrame([], f"doc_id string, first {rows[0]}, second {rows[1]}, error string").schema
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+        names = [[f.name for f in k.fields[1:]] for k in kinds]
+        for batch in batches:
+            for doc, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                row = {"doc_id": doc, "first": [], "second": [], "error": None}
+                try:
+                    found = parse(content or b"")
+                    made = [[dict(zip(n, r, strict=True)) for r in rows] for n, rows in zip(names, found, strict=True)]
+                    yield pa.RecordBatch.from_pylist([row | {"first": made[0], "second": made[1]}], schema=arrow)
+                except Exception as e:  # no file may end a batch
+                    yield pa.RecordBatch.from_pylist([row | {"error": f"{type(e).__name__}: {e}"[:500]}], schema=arrow)
+
+    once = scratch.written(binary.select(F.col("doc_id").cast("string").alias("doc_id"), "content").mapInArrow(each, schema), "parsed")
+    one, two = (once.select("doc_id", F.inline(c)) for c in ("first", "second"))
+    return one, two, once.where("error IS NOT NULL").select("doc_id", "error")
 
 
 def read_workbooks(binary: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

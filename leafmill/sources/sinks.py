@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.functions.text import stem
+
 
 def write_markdown(results: DataFrame, path: str, mode: str = "overwrite") -> None:
     """doc_id and md as a Parquet table, partition files by Spark's own split."""
@@ -23,6 +27,15 @@ def block_lists(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("doc_id").agg(F.to_json(F.transform(in_order, lambda x: x["b"])).alias("content_list"))
 
 
+def write_markdown_files(results: DataFrame, root: str) -> DataFrame:
+    """Write md of each row (doc_id, md) as ``root``/stem.md in UTF-8; returns path and length of each. Rows without a text, as failures have, write none.
+
+    Documents with one stem write one file, the last of them, as on a disk.
+    """
+    files = results.where("md IS NOT NULL").select(F.lit("").alias("folder"), F.concat(stem("doc_id"), F.lit(".md")).alias("name"), F.col("md").cast("binary").alias("content"))
+    return write_files(files, root)
+
+
 def write_files(rows: DataFrame, root: str) -> DataFrame:
     """Write content (binary) of each row to root/folder/name on any file system of Spark's; returns path and length of each.
 
@@ -39,11 +52,13 @@ def write_files(rows: DataFrame, root: str) -> DataFrame:
         for batch in batches:
             out = []
             for folder, name, content in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                store.create_dir(f"{base}/{folder}", recursive=True)
-                with store.open_output_stream(f"{base}/{folder}/{name}.part") as f:
+                place = f"{base}/{folder}".rstrip("/")
+                store.create_dir(place, recursive=True)
+                part = f"{place}/{name}.{uuid.uuid4().hex}.part"  # two attempts of one task don't meet
+                with store.open_output_stream(part) as f:
                     f.write(content or b"")
-                store.move(f"{base}/{folder}/{name}.part", f"{base}/{folder}/{name}")
-                out.append((f"{base}/{folder}/{name}", len(content or b"")))
+                store.move(part, f"{place}/{name}")
+                out.append((f"{place}/{name}", len(content or b"")))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64())], ["path", "length"])
 
     return rows.select("folder", "name", "content").mapInArrow(each, "path string, length long")

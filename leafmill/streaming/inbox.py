@@ -8,6 +8,7 @@ Files must arrive by an atomic rename.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,9 +41,16 @@ def move(spark: SparkSession, path: str, folder: str) -> None:
         return
     fs.mkdirs(target)
     to = hadoop.Path(target, source.getName())
-    if fs.exists(to):
-        fs.delete(to, False)
-    fs.rename(source, to)
+    aside = hadoop.Path(target, f"{source.getName()}.{uuid.uuid4().hex}.replaced")
+    before = fs.exists(to)
+    if before and not fs.rename(to, aside):
+        raise OSError(f"{to} can't be replaced")
+    if not fs.rename(source, to):
+        if before:
+            fs.rename(aside, to)  # the earlier file is back where it was
+        raise OSError(f"{source} can't be moved to {to}")
+    if before:
+        fs.delete(aside, False)
 
 
 def watch(
