@@ -82,3 +82,14 @@ def with_markers(md: DataFrame, blocks: DataFrame) -> DataFrame:
     head = F.substring(F.col("md"), F.lit(1), F.coalesce(F.get("marks", F.lit(0))["pos"] - 1, F.length("md")))
     whole = F.concat(head, F.array_join(F.transform("marks", piece), ""))
     return transitions(md, blocks).select("doc_id", whole.alias("md"), F.size("marks").alias("n_markers"))
+
+
+def marker_audit(marked: DataFrame, blocks: DataFrame) -> DataFrame:
+    """doc_id, pages (by the largest page index; 1 without blocks), n_markers and missing, the changes of page that no marker stands for.
+
+    Several missing markers mean that many blocks weren't found in the text.
+    """
+    most = blocks.groupBy("doc_id").agg(F.max("page_idx").alias("last"))
+    pages = (F.coalesce("last", F.lit(0)) + 1).alias("pages")
+    joined = marked.select("doc_id", "n_markers").join(most, "doc_id", "left").select("doc_id", pages, "n_markers")
+    return joined.withColumn("missing", F.greatest(F.col("pages") - 1 - F.col("n_markers"), F.lit(0)))

@@ -7,7 +7,7 @@ and the reference pass has the rare spelling and never the dictionary's.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import TOKEN
@@ -59,14 +59,30 @@ def confirmed(primary: DataFrame, reference: DataFrame, words: DataFrame) -> Dat
     return pairs.withColumn("nth", nth).where("nth = 1").select("doc_id", "dict_token", "rare_token")
 
 
+def _whole_word(token: Column) -> Column:
+    return F.concat(F.lit(r"(?U)\b"), token, F.lit(r"\b"))
+
+
+def change_log(primary: DataFrame, reference: DataFrame, words: DataFrame) -> DataFrame:
+    """doc_id, dict_token, rare_token, n_replaced, n_reference of every correction that changes the text.
+
+    ``n_replaced`` counts the whole words that give way, ``n_reference`` how
+    often the reference pass has the rare spelling.
+    """
+    seen = token_counts(reference).select("doc_id", F.col("token").alias("rare_token"), F.col("n").alias("n_reference"))
+    pairs = confirmed(primary, reference, words).join(seen, ["doc_id", "rare_token"])
+    counted = pairs.join(primary.select("doc_id", "md"), "doc_id")
+    n = F.regexp_count("md", _whole_word(F.col("dict_token")))
+    return counted.select("doc_id", "dict_token", "rare_token", n.alias("n_replaced"), "n_reference").where("n_replaced > 0")
+
+
 def reconcile(primary: DataFrame, reference: DataFrame, words: DataFrame | None) -> DataFrame:
     """doc_id, md and n_replaced of ``primary`` (doc_id, md); without a wordlist nothing is changed."""
     if words is None:
         return primary.select("doc_id", "md", F.lit(0).alias("n_replaced"))
     pairs = confirmed(primary, reference, words).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("dict_token", "rare_token"))).alias("pairs"))
     joined = primary.select("doc_id", "md").join(pairs, "doc_id", "left")
-    whole_word = lambda t: F.concat(F.lit(r"(?U)\b"), t, F.lit(r"\b"))
-    text = F.aggregate("pairs", F.col("md"), lambda s, p: F.regexp_replace(s, whole_word(p["dict_token"]), p["rare_token"]))
-    n = F.aggregate("pairs", F.lit(0), lambda total, p: total + F.regexp_count(F.col("md"), whole_word(p["dict_token"])))
+    text = F.aggregate("pairs", F.col("md"), lambda s, p: F.regexp_replace(s, _whole_word(p["dict_token"]), p["rare_token"]))
+    n = F.aggregate("pairs", F.lit(0), lambda total, p: total + F.regexp_count(F.col("md"), _whole_word(p["dict_token"])))
     counted = joined.withColumn("n_replaced", F.coalesce(n, F.lit(0)))  # before md has another meaning
     return counted.select("doc_id", F.coalesce(text, "md").alias("md"), "n_replaced")

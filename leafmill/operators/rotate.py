@@ -36,3 +36,10 @@ def resolve(observed: DataFrame, rechecks: DataFrame, min_confidence: float = 1.
             "conf",
         )
     )
+
+
+def summary(resolved: DataFrame) -> DataFrame:
+    """doc_id, n_fixed, n_unresolved and unresolved (their page numbers in order) of :func:`resolve`'s pages."""
+    of = lambda status: F.count_if(F.col("status") == status)
+    left = F.array_sort(F.collect_list(F.when(F.col("status") == "unresolved", F.col("page_number"))))
+    return resolved.groupBy("doc_id").agg(of("fixed").alias("n_fixed"), of("unresolved").alias("n_unresolved"), left.alias("unresolved"))

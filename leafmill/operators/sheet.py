@@ -51,15 +51,19 @@ def sheets(cells: DataFrame, merges: DataFrame | None = None) -> DataFrame:
 
     ``cells``: doc_id, sheet_ix, sheet, row, col (from 1), kind (null, bool,
     num, date, text), num, text, ts, bool, number_format, formula. Blank rows
-    at the end go, all others stay, and the first is the header.
+    at the end go, all others stay, and the first is the header. A sheet is as
+    wide as its last cell or merged range.
     """
     shown = displayed(cells).select(*SHEET, "sheet", "row", "col", "value")
     if merges is not None:
         hidden = merged_blanks(merges).withColumn("hidden", F.lit(True))
         shown = shown.join(hidden, [*SHEET, "row", "col"], "left").withColumn("value", F.when(F.col("hidden"), "").otherwise(F.col("value")))
-    whole = Window.partitionBy(*SHEET)
+    whole, width = Window.partitionBy(*SHEET), F.lit(0)
+    if merges is not None:
+        shown = shown.join(merges.groupBy(*SHEET).agg(F.max("max_col").alias("merged")), [*SHEET], "left")
+        width = F.coalesce("merged", F.lit(0))
     full = F.when(F.col("value") != "", F.col("row"))
-    shown = shown.withColumns({"last_row": F.max(full).over(whole), "width": F.max("col").over(whole)}).where(F.col("row") <= F.col("last_row"))
+    shown = shown.withColumns({"last_row": F.max(full).over(whole), "width": F.greatest(F.max("col").over(whole), width)}).where(F.col("row") <= F.col("last_row"))
     rows = shown.groupBy(*SHEET, "row", "width").agg(
         F.first("sheet").alias("sheet"), F.array_sort(F.collect_list(F.struct("col", "value"))).alias("cells")
     )

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from leafmill.functions.text import strip
 
 
+#: Largest spans of a cell in HTML (fixed values of the format).
+MOST_ROWS, MOST_COLUMNS = 65_534, 1_000
+
+
 def refoot(items: DataFrame, totals: DataFrame, keys: list[str], tolerance: float = 0.005) -> DataFrame:
     """keys, stated, footed and agrees: the sum of ``items.amount`` against ``totals.stated``; no items sum to 0."""
     footed = items.groupBy(*keys).agg(F.sum("amount").alias("footed"))
@@ -55,10 +61,15 @@ def rolls_forward(balances: DataFrame, keys: list[str], tolerance: float = 0.005
 
 
 def footnote_between_tables(blocks: DataFrame) -> DataFrame:
-    """Blocks (doc_id, seq, kind) that are a footnote with a table on either side: where a second table may be lost."""
+    """Blocks (doc_id, seq, kind) that are a footnote with a table on either side: where a second table may be lost.
+
+    Where blocks know their page's ``rotation``, only turned pages count; a null
+    one is taken for turned, as it isn't known to be upright.
+    """
     order = Window.partitionBy("doc_id").orderBy("seq")
     sides = blocks.withColumns({"_before": F.lag("kind").over(order), "_after": F.lead("kind").over(order)})
-    return sides.where("kind = 'footnote' AND _before = 'table' AND _after = 'table'").drop("_before", "_after")
+    found = sides.where("kind = 'footnote' AND _before = 'table' AND _after = 'table'").drop("_before", "_after")
+    return found.where(F.coalesce(F.col("rotation") % 360 != 0, F.lit(True))) if "rotation" in blocks.columns else found
 
 
 def heading_levels(headings: DataFrame) -> DataFrame:
@@ -66,69 +77,111 @@ def heading_levels(headings: DataFrame) -> DataFrame:
     return headings.withColumn("depth", F.dense_rank().over(Window.partitionBy("doc_id").orderBy("level")))
 
 
+def split_headings(headings: DataFrame) -> DataFrame:
+    """``headings`` (doc_id, line_no, level, text) with one row for each heading of a line that joins several, and part (from 0).
+
+    Headings are joined where hashes stand inside the text between spaces; the
+    level of a later one is the number of its hashes, its text may be several
+    words, and what has no text goes.
+    """
+    parts = F.split(F.concat(F.repeat(F.lit("#"), F.col("level")), F.lit(" "), "text"), r"(?U)(?:^|\s+)(?=#{1,6}\s)")
+    level, text = F.length(F.regexp_extract("_part", "^(#+)", 1)), strip(F.regexp_replace("_part", "^#+", ""))
+    split = headings.select("*", F.posexplode(F.filter(parts, lambda p: p.rlike(r"(?sU)^#{1,6}\s+[^\s#]"))).alias("_nth", "_part"))
+    return split.withColumns({"level": level, "text": text, "part": F.col("_nth")}).drop("_nth", "_part")
+
+
 def scorecard(findings: DataFrame, kinds: tuple[str, ...] = ("A", "B", "C")) -> DataFrame:
     """doc_id and the number of findings (doc_id, kind) of each kind."""
     return findings.groupBy("doc_id").pivot("kind", list(kinds)).count().na.fill(0)
 
 
+@dataclass
+class _Table:
+    """A table that is being read: its number, the next place, and how far down each column is covered by cells above."""
+
+    number: int
+    row: int = -1
+    col: int = 0
+    cell: list | None = None
+    covered: dict[int, int] = field(default_factory=dict)
+
+
 class _Rows(HTMLParser):
-    """Rows of the tables of an HTML text, as (table, row, col, rowspan, colspan, text)."""
+    """Rows of the tables of an HTML text, as (table, row, col, rowspan, colspan, text). A table inside a cell is one of its own."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.out: list[tuple[int, int, int, int, int, str]] = []
-        self.table, self.row, self.col, self.cell = -1, -1, 0, None
-        self.taken: set[tuple[int, int]] = set()
+        self.open: list[_Table] = []
+        self.tables = 0
+
+    def begin(self) -> None:
+        self.open.append(_Table(self.tables))
+        self.tables += 1
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self.table, self.row, self.taken = self.table + 1, -1, set()
-        elif tag == "tr":
-            self.row, self.col = self.row + 1, 0
-        elif tag in ("td", "th") and self.row >= 0:
-            self.close_cell()
-            spans = {k: int(v) if v and v.isdigit() and int(v) > 0 else 1 for k, v in attrs if k in ("rowspan", "colspan")}
-            while (self.row, self.col) in self.taken:
-                self.col += 1
-            self.cell = [min(spans.get("rowspan", 1), 1000), min(spans.get("colspan", 1), 1000), []]
+            self.begin()
+        elif tag in ("tr", "td", "th"):
+            if not self.open:
+                self.begin()
+            t = self.open[-1]
+            self.close_cell(t)
+            if tag == "tr" or t.row < 0:
+                t.row, t.col = t.row + 1, 0
+            if tag != "tr":
+                span = lambda name, most: min(max(1, next((int(v) for k, v in attrs if k == name and v and v.isdecimal()), 1)), most)
+                while t.covered.get(t.col, 0) > t.row:
+                    t.col += 1
+                t.cell = [span("rowspan", MOST_ROWS), span("colspan", MOST_COLUMNS), []]
 
     def handle_data(self, data):
-        if self.cell:
-            self.cell[2].append(data)
+        if self.open and self.open[-1].cell:
+            self.open[-1].cell[2].append(data)
 
     def handle_endtag(self, tag):
-        if tag in ("td", "th", "tr", "table"):
-            self.close_cell()
+        if tag in ("td", "th", "tr", "table") and self.open:
+            self.close_cell(self.open[-1])
+            if tag == "table":
+                self.open.pop()
 
-    def close_cell(self):
-        if self.cell:
-            down, across, parts = self.cell
-            self.out.append((max(self.table, 0), self.row, self.col, down, across, "".join(parts).strip()))
-            self.taken |= {(self.row + i, self.col + j) for i in range(down) for j in range(across)}
-            self.col, self.cell = self.col + across, None
+    def close_cell(self, t: _Table) -> None:
+        if t.cell:
+            down, across, parts = t.cell
+            self.out.append((t.number, t.row, t.col, down, across, "".join(parts).strip()))
+            t.covered |= {t.col + j: t.row + down for j in range(across)}
+            t.col, t.cell = t.col + across, None
 
 
 def html_cells(text: str | None) -> list[tuple[int, int, int, int, int, str]]:
-    """(table_no, row, col, rowspan, colspan, text) of every cell of an HTML text; broken markup gives what can be read."""
+    """(table_no, row, col, rowspan, colspan, text) of every cell of an HTML text; broken markup gives what can be read.
+
+    Tables are numbered as they begin, nested ones too, whose text is no part
+    of the cell around them. Spans go up to what HTML itself allows, 65,534
+    rows and 1,000 columns; larger ones count as that, and 0 or no number as 1.
+    """
     parser = _Rows()
     parser.feed(text or "")
     parser.close()
-    parser.close_cell()
+    while parser.open:
+        parser.close_cell(parser.open.pop())
     return parser.out
 
 
 def html_tables(blocks: DataFrame, column: str = "table_body") -> DataFrame:
-    """doc_id, seq, table_no, row, col, rowspan, colspan, text of the tables in HTML of ``blocks``, in Arrow batches."""
+    """doc_id (of any type), seq, table_no, row, col, rowspan, colspan, text of the tables in HTML of ``blocks``, in Arrow batches."""
     import pyarrow as pa
 
-    schema = "doc_id long, seq int, table_no int, row int, col int, rowspan int, colspan int, text string"
+    wanted = blocks.where(F.col(column).isNotNull()).select("doc_id", F.col("seq").cast("int"), F.col(column).alias("html"))
+    numbers = ("table_no", "row", "col", "rowspan", "colspan")
+    schema = StructType([wanted.schema["doc_id"], wanted.schema["seq"], *(StructField(n, IntegerType()) for n in numbers), StructField("text", StringType())])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(d, s, *c) for d, s, t in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True) for c in html_cells(t)]
-            kinds = [pa.int64(), *[pa.int32()] * 6, pa.string()]
-            columns = list(zip(*rows, strict=True)) or [()] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in schema.split(", ")])
+            found = [html_cells(t) for t in batch.column("html").to_pylist()]
+            at = pa.array([k for k, cells in enumerate(found) for _ in cells], pa.int64())
+            columns = list(zip(*(c for cells in found for c in cells), strict=True)) or [()] * 6
+            arrays = [pa.array(v, t) for v, t in zip(columns, [*[pa.int32()] * 5, pa.string()], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("seq").take(at), *arrays], ["doc_id", "seq", *numbers, "text"])
 
-    wanted = blocks.where(F.col(column).isNotNull()).select(F.col("doc_id").cast("long"), F.col("seq").cast("int"), column)
     return wanted.mapInArrow(each, schema)
