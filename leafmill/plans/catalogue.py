@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import MERGED_RUN
+from leafmill.functions import text
 from leafmill.operators import anchor, assemble, classify, index, reconcile, rotate, route, sheet, spacing, validate, wordproc
 from leafmill.plans import adapters as a
-from leafmill.sources import sinks
+from leafmill.plans import convert
+from leafmill.sources import office, scratch, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -72,8 +74,8 @@ def rotation_resolve(spark, sf_dir):
 
 @query
 def merged_run_scan(spark, sf_dir):
-    runs = F.regexp_extract_all("text", F.lit(MERGED_RUN), 0)
-    docs = a.table(spark, sf_dir, "documents").where(F.col("text").rlike(MERGED_RUN))
+    runs = F.regexp_extract_all("text", F.lit(text.MERGED_RUN), 0)
+    docs = a.table(spark, sf_dir, "documents").where(F.col("text").rlike(text.MERGED_RUN))
     return docs.select("doc_id", F.size(runs).alias("n_runs"), F.array_join(runs, " ").alias("runs"))
 
 
@@ -103,7 +105,7 @@ def chunk_offsets(spark, sf_dir):
 @query
 def chunk_boxes(spark, sf_dir):
     chunks = a.conversation_chunks(spark, sf_dir)
-    whole = F.struct(F.lit("text").alias("class"), F.array(F.lit(0.0)).alias("bbox"), F.array(F.lit(2), F.length("text")).alias("pos"))
+    whole = F.struct(F.lit("text").alias("class"), F.array(F.lit(0.0)).alias("bbox"), F.array(F.lit(0), F.length("text")).alias("pos"))
     nowhere = F.struct(F.lit("picture").alias("class"), F.array(F.lit(1.0)).alias("bbox"), F.lit(None).cast("array<int>").alias("pos"))
     found = assemble.boxes(chunks.withColumn("boxes", F.array(whole, nowhere)), assemble.offsets(chunks))
     at = [F.get("doc_pos", k).cast("long").alias(n) for k, n in enumerate(("start", "stop"))]
@@ -236,7 +238,7 @@ def dedupe_headers(spark, sf_dir):
     turns = a.table(spark, sf_dir, "conversations")
     label = F.when(F.col("turn") % 2 == 0, "Header").otherwise("Footer")
     linked = F.col("turn") % 5 == 4
-    parts = turns.select(F.col("conv_id").alias("doc_id"), F.floor(F.col("turn") / 2).alias("section_ix"), label.alias("label"), linked.alias("linked"), F.substring("text", 1, 2).alias("text"))
+    parts = turns.select(F.col("conv_id").alias("doc_id"), F.floor(F.col("turn") / 2).alias("section_ix"), label.alias("label"), linked.alias("linked"), "text")
     return wordproc.headers_footers(parts).select("doc_id", "nth", "md")
 
 
@@ -260,15 +262,15 @@ def pick_artifact(spark, sf_dir):
 
 @query
 def image_links(spark, sf_dir):
-    text = F.concat(F.lit("![a](images/a.png) "), F.col("text"), F.lit(" ![b](images/b.png)"))
-    return a.table(spark, sf_dir, "documents").select("doc_id", route.image_links(text, F.concat(F.lit("doc"), F.col("doc_id").cast("string"))).alias("md"))
+    md = F.concat(F.lit("![a](images/a.png) "), F.col("text"), F.lit(" ![b](images/b.png)"))
+    return a.table(spark, sf_dir, "documents").select("doc_id", route.image_links(md, F.concat(F.lit("doc"), F.col("doc_id").cast("string"))).alias("md"))
 
 
 @query
 def engine_diff(spark, sf_dir):
     docs = a.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
     other = F.when(F.col("doc_id") % 5 == 0, F.lit("changed")).otherwise(F.col("digest"))
-    return route.diff(docs.where("doc_id % 3 != 0"), docs.where("doc_id % 4 != 0").withColumn("digest", other), "doc_id", "digest")
+    return route.diff(docs, docs.withColumn("digest", other), "doc_id", "digest")
 
 
 @query
@@ -326,21 +328,181 @@ def finding_scorecard(spark, sf_dir):
 
 @query
 def html_tables(spark, sf_dir):
-    customers = a.table(spark, sf_dir, "customer")
-    body = F.concat(F.lit("<table><tr><td rowspan=2>"), "c_name", F.lit("</td><th>a &amp; b</th></tr><tr><td>"), F.col("c_custkey").cast("string"), F.lit("</td></tr></table>"))
-    return validate.html_tables(customers.select(F.col("c_custkey").alias("doc_id"), F.lit(0).alias("seq"), body.alias("table_body")))
+    """Pages as a table: the url over two columns and rows with the page's number in a table of its own, then each paragraph."""
+    head = F.concat(F.lit("<table><tr><td rowspan=2 colspan=2>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("<table><tr><td>"), F.col("page_id").cast("string"), F.lit("</table> end</tr>"))
+    rows = F.replace(F.replace("html", F.lit("<p>"), F.lit("<tr><td>")), F.lit("</p>"), F.lit("</td>"))
+    pages = a.table(spark, sf_dir, "pages")
+    return validate.html_tables(pages.select(F.col("page_id").cast("string").alias("doc_id"), F.lit(0).alias("seq"), F.concat(head, rows, F.lit("</table>")).alias("table_body")))
+
+
+@query
+def image_heavy_pages(spark, sf_dir):
+    """Order lines as pages with one image each: the reason by coverage, and the documents' verdict."""
+    box = F.struct(F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), (F.col("l_partkey") % 100).cast("double").alias("x1"), F.lit(100.0).alias("y1"))
+    pages = a.order_lines(spark, sf_dir).select(
+        F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("int").alias("page_number"), F.repeat(F.lit("text "), 5).alias("text"),
+        F.array(box).alias("images"), F.lit(100.0).alias("page_w"), F.lit(100.0).alias("page_h"),
+    )
+    judged = classify.verdict(classify.classify(pages))
+    return judged.select("doc_id", F.array_join(F.transform("image", lambda x: x.cast("string")), ",").alias("image"), "verdict")
+
+
+@query
+def letters_only(spark, sf_dir):
+    return a.table(spark, sf_dir, "documents").select("doc_id", text.letters_only("text").alias("letters"))
+
+
+@query
+def wordlist(spark, sf_dir):
+    """The benchmark's texts as files of lines, read as a wordlist."""
+    path = f"{scratch.folder(spark)}/words-{uuid.uuid4().hex}"
+    tokens = F.explode(F.regexp_extract_all("text", F.lit(text.TOKEN), F.lit(0)))
+    a.table(spark, sf_dir, "benchmark").select(tokens.alias("w")).select(F.concat(F.lit(" "), "w").alias("value")).write.text(path)
+    return reconcile.wordlist(spark, path)
+
+
+@query
+def model_available(spark, sf_dir):
+    tags = F.array(F.concat(F.lit("m"), (F.col("p_partkey") % 7).cast("string"), F.lit(":"), (F.col("p_size") % 3).cast("string")), F.lit("other"))
+    wanted = F.concat(F.lit("m"), (F.col("p_size") % 7).cast("string"), F.when(F.col("p_partkey") % 2 == 0, ":latest").otherwise(""))
+    return a.table(spark, sf_dir, "part").select("p_partkey", route.model_available(tags, wanted).alias("available"))
+
+
+@query
+def output_inside(spark, sf_dir):
+    out = F.concat(F.lit("/in/"), F.col("c_nationkey").cast("string"), F.lit("/x"))
+    folder = F.concat(F.lit("/in/"), (F.col("c_custkey") % 5).cast("string"), F.when(F.col("c_custkey") % 2 == 0, "/").otherwise(""))
+    return a.table(spark, sf_dir, "customer").select("c_custkey", route.output_inside(out, folder).alias("inside"))
+
+
+@query
+def too_little(spark, sf_dir):
+    pages = (F.col("doc_id") % 200).cast("int")
+    return a.table(spark, sf_dir, "documents").select("doc_id", classify.too_little(F.col("text"), pages).alias("little"))
+
+
+@query
+def sql_functions(spark, sf_dir):
+    """The functions that are registered for SQL."""
+    text.register(spark)
+    docs = a.table(spark, sf_dir, "documents")
+    return docs.selectExpr("doc_id", "leaf_strip(text) AS stripped", "length(leaf_letters(text)) AS letters", "leaf_page_marker(doc_id) AS marker", "leaf_control_ratio(text) AS ratio", "leaf_extension(concat('/x/', source, '.T', doc_id)) AS ext")
+
+
+@query
+def convert_digital(spark, sf_dir):
+    """Chunks whose last words have lost their space, which the pages' words give back."""
+    chunks = a.conversation_chunks(spark, sf_dir)
+    merged = chunks.withColumn("text", F.concat("text", F.lit("\nGRANDTOTAL "), F.col("seq").cast("string")))
+    words = chunks.select("doc_id", "page_number", F.posexplode(F.array(*map(F.lit, ("So", "GRAND", "TOTAL")))).alias("seq", "word"))
+    return convert.digital(merged, words)
+
+
+@query
+def convert_scanned(spark, sf_dir):
+    """Documents as recognised texts under two headings; a second pass has nothing to correct."""
+    docs = a.document_markdown(spark, sf_dir).withColumn("md", F.concat(F.lit("# Part\n"), "md", F.lit("\n## End")))
+    return convert.scanned(docs, a.document_blocks(spark, sf_dir))
+
+
+@query
+def spelling_log(spark, sf_dir):
+    return reconcile.change_log(a.document_markdown(spark, sf_dir), a.reference_markdown(spark, sf_dir), a.benchmark_words(spark, sf_dir))
+
+
+@query
+def marker_audit(spark, sf_dir):
+    blocks = a.document_blocks(spark, sf_dir)
+    return anchor.marker_audit(anchor.with_markers(a.document_markdown(spark, sf_dir), blocks), blocks)
+
+
+@query
+def rotation_summary(spark, sf_dir):
+    found = rotate.summary(rotation_resolve(spark, sf_dir))
+    return found.withColumn("unresolved", F.array_join(F.transform("unresolved", lambda x: x.cast("string")), ","))
+
+
+@query
+def split_headings(spark, sf_dir):
+    """Headings of conversations, a second one joined to those of users' turns."""
+    found = index.headings(assemble.body(a.conversation_chunks(spark, sf_dir)))
+    joined = found.withColumn("text", F.when(F.col("level") == 1, F.concat("text", F.lit(" ### of  "), F.col("page").cast("string"))).otherwise(F.col("text")))
+    return validate.split_headings(joined).select("doc_id", "line_no", "part", "level", "text")
+
+
+def _zipped(parts: Callable[[tuple], dict[str, str]], broken: Callable[[tuple], bool]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of columns (doc_id, ...) as zipped files of the parts that ``parts`` makes; a broken file's packed bytes are overwritten."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import io
+        import zipfile
+
+        for batch in batches:
+            files = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                with zipfile.ZipFile(out := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as z:
+                    for name, body in parts(row).items():
+                        z.writestr(name, body)
+                content = out.getvalue()
+                files.append(content[:60] + b"\xff" * 40 + content[100:] if broken(row) else content)
+            ids = pa.array([str(x) for x in batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(files, pa.binary())], ["doc_id", "content"])
+
+    return each
+
+
+_OFFICE = "http://schemas.openxmlformats.org/"
+
+
+@query
+def xlsx_cells(spark, sf_dir):
+    """Customers as workbooks, every tenth one damaged: what their cells show, and one row for each that can't be read."""
+    from xml.sax.saxutils import escape
+
+    main = f'xmlns="{_OFFICE}spreadsheetml/2006/main"'
+
+    def parts(row: tuple) -> dict[str, str]:
+        k, name, balance = row
+        cells = [
+            f'<c r="A1" t="inlineStr"><is><t>{escape(name)}</t></is></c>', f'<c r="B1" s="1"><v>{balance!r}</v></c>', f'<c r="C1" s="2"><v>{40000 + k % 5000}.75</v></c>',
+            f'<c r="D1" s="3"><v>{k % 1440 / 1440!r}</v></c>', f'<c r="E1" s="4"><v>{k % 60 / 24!r}</v></c>', f'<c r="F1" t="b"><v>{k % 2}</v></c>', '<c r="G1"><f>A1*2</f></c>',
+        ]
+        return {
+            "xl/workbook.xml": f'<workbook {main} xmlns:r="{_OFFICE}officeDocument/2006/relationships"><sheets><sheet name="S" sheetId="1" r:id="a"/></sheets></workbook>',
+            "xl/_rels/workbook.xml.rels": '<Relationships xmlns="x"><Relationship Id="a" Target="worksheets/s.xml"/></Relationships>',
+            "xl/styles.xml": f'<styleSheet {main}><cellXfs><xf numFmtId="0"/><xf numFmtId="4"/><xf numFmtId="22"/><xf numFmtId="20"/><xf numFmtId="46"/></cellXfs></styleSheet>',
+            "xl/worksheets/s.xml": f'<worksheet {main}><sheetData><row r="1">{"".join(cells)}</row></sheetData></worksheet>',
+        }
+
+    customers = a.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    cells, _, errors = office.read_workbooks(customers.mapInArrow(_zipped(parts, lambda row: row[0] % 10 == 0), "doc_id string, content binary"))
+    failed = errors.select("doc_id", F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit("error").alias("value"))
+    return sheet.displayed(cells).select("doc_id", "row", "col", "value").unionByName(failed)
+
+
+@query
+def docx_items(spark, sf_dir):
+    """Pages as word-processor files, every tenth one damaged: their items as Markdown, and one row for each that can't be read."""
+    from xml.sax.saxutils import escape
+
+    def parts(row: tuple) -> dict[str, str]:
+        page, url = row
+        p = lambda t, style="": f"<w:p>{style}<w:r><w:t>{escape(t)}</w:t></w:r></w:p>"
+        table = f"<w:tbl><w:tr><w:tc>{p('page')}</w:tc><w:tc>{p('a|b')}</w:tc></w:tr><w:tr><w:tc>{p(str(page))}</w:tc></w:tr></w:tbl>"
+        return {"word/document.xml": f'<w:document xmlns:w="{_OFFICE}wordprocessingml/2006/main"><w:body>{p("Page", "<w:pPr><w:pStyle w:val=%sTitle%s/></w:pPr>" % (chr(34), chr(34)))}{p(url or "")}{table}</w:body></w:document>'}
+
+    pages = a.table(spark, sf_dir, "pages").select("page_id", "url")
+    items, _, errors = office.read_documents(pages.mapInArrow(_zipped(parts, lambda row: row[0] % 10 == 0), "doc_id string, content binary"))
+    failed = errors.select("doc_id", F.lit(-1).alias("seq"), F.lit("error").alias("md"))
+    return wordproc.item_markdown(items).select("doc_id", "seq", "md").unionByName(failed)
 
 
 @query
 def inbox_replay(spark, sf_dir):
     """Pages as word-processor files, every tenth broken, dropped in a folder that the stream works off."""
-    import tempfile
-    import uuid
-
     from leafmill.streaming import inbox
 
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="leafmill-")
-    root = f"{shared.rstrip('/')}/inbox-{uuid.uuid4().hex}"
+    root = f"{scratch.folder(spark)}/inbox-{uuid.uuid4().hex}"
 
     def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io

@@ -15,8 +15,8 @@ _CHUNKS = r"""c AS (SELECT conv_id AS doc_id, CAST(turn AS INT) AS seq, CAST(tur
 m AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY doc_id ORDER BY seq) > 1
   THEN chr(10) || chr(10) || '<!-- page ' || page_number || ' -->' || chr(10) || chr(10) ELSE '' END AS marker FROM c)"""
 _BODY = _CHUNKS + """, b AS (SELECT doc_id, string_agg(marker || text, '' ORDER BY seq) AS md FROM m GROUP BY doc_id)"""
-_LINES = _BODY + """, sp AS (SELECT doc_id, string_split(md, chr(10)) AS x FROM b),
-l AS (SELECT doc_id, CAST(unnest(range(len(x))) AS INT) AS line_no, unnest(x) AS line FROM sp)"""
+_LINES = _BODY + """, sl AS (SELECT doc_id, string_split(md, chr(10)) AS x FROM b),
+l AS (SELECT doc_id, CAST(unnest(range(len(x))) AS INT) AS line_no, unnest(x) AS line FROM sl)"""
 _TAGGED = (
     _LINES
     + rf""", t AS (SELECT *, {_STRIP.format("line")} AS s FROM l),
@@ -39,6 +39,18 @@ bl AS (SELECT doc_id, CAST(unnest(range(len(x))) AS INT) AS seq, unnest(x) AS te
 k AS (SELECT *, CAST(seq // 5 AS INT) AS page_idx, {_STRIP.format("text")} AS key, count(*) OVER (PARTITION BY doc_id, {_STRIP.format("text")}) AS n FROM bl)"""
 _NEEDLES = _BLOCKS + """, nd AS (SELECT doc_id, seq, page_idx, substr(key, 1, 40) AS needle FROM k
   WHERE NOT (key <> '' AND n >= 3) AND length(substr(key, 1, 40)) >= 10)"""
+_MARKED = (
+    _NEEDLES
+    + """, nk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS nth FROM nd),
+    w AS (SELECT doc_id, CAST(0 AS BIGINT) AS nth, CAST(1 AS BIGINT) AS cursor, CAST(1 AS BIGINT) AS last, CAST(NULL AS INT) AS page, '' AS done, 0 AS n, text AS md FROM documents
+      UNION ALL SELECT doc_id, nth, CASE WHEN hit THEN pos + length(needle) ELSE cursor END, CASE WHEN turn THEN pos ELSE last END, CASE WHEN hit THEN page_idx ELSE page END,
+        CASE WHEN turn THEN done || substr(md, last, pos - last) || chr(10) || chr(10) || '<!-- page ' || (page_idx + 1) || ' -->' || chr(10) || chr(10) ELSE done END,
+        CASE WHEN turn THEN n + 1 ELSE n END, md
+      FROM (SELECT *, hit AND page IS NOT NULL AND page <> page_idx AS turn FROM (SELECT *, off > 0 AS hit, cursor + off - 1 AS pos FROM (
+        SELECT w.doc_id, nk.nth, cursor, last, page, done, n, md, page_idx, needle, strpos(substr(md, cursor), needle) AS off FROM w JOIN nk ON w.doc_id = nk.doc_id AND nk.nth = w.nth + 1)))),
+    e AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY nth DESC) = 1),
+    pm AS (SELECT doc_id, done || substr(md, last) AS md, n FROM e), bl2 AS (SELECT doc_id, CAST(seq // 5 AS INT) AS page_idx FROM bl)"""
+)
 _TOKENS = r"""tk AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z]{5,}') AS x FROM documents),
 te AS (SELECT doc_id, unnest(range(len(x))) AS nth, unnest(x) AS token FROM tk),
 ct AS (SELECT doc_id, token, count(*) AS n, min(nth) AS first FROM te GROUP BY ALL),
@@ -47,6 +59,12 @@ ra AS (SELECT * FROM ct WHERE n >= 2 AND lower(token) NOT IN (SELECT word FROM w
 di AS (SELECT * FROM ct WHERE n >= 2 AND lower(token) IN (SELECT word FROM wl))"""
 _TWINS = _TOKENS + """, tw AS (SELECT ra.doc_id, ra.token AS rare_token, di.token AS dict_token, ra.first FROM ra JOIN di
   ON ra.doc_id = di.doc_id AND length(ra.token) = length(di.token) AND levenshtein(lower(ra.token), lower(di.token)) <= 2)"""
+_CONFIRMED = (
+    _TWINS
+    + """, rf AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(replace(text, 'e', 'q'), '[A-Za-z]{5,}')) AS token FROM documents),
+cf AS (SELECT doc_id, dict_token, rare_token FROM tw WHERE (doc_id, rare_token) IN (SELECT (doc_id, token) FROM rf) AND (doc_id, dict_token) NOT IN (SELECT (doc_id, token) FROM rf)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, dict_token ORDER BY first, rare_token) = 1)"""
+)
 _MONEY = "CASE WHEN {0} < 0 THEN '(' || {1} || ')' ELSE {1} END"
 _SIZE = "CASE WHEN abs(v) = floor(abs(v)) THEN format('{:,}', CAST(abs(v) AS BIGINT)) ELSE format('{:,.2f}', abs(v)) END"
 _CELLS = rf"""k AS (SELECT *, c_custkey AS k, c_acctbal AS v FROM customer),
@@ -94,7 +112,7 @@ def _sql() -> dict[str, str]:
     o["chunk_offsets"] = f"""WITH {_CHUNKS}, z AS (SELECT *, CAST(sum(length(marker) + length(text)) OVER (PARTITION BY doc_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM m)
     SELECT doc_id, seq, page_number, stop - length(text) AS start, stop FROM z"""
     o["chunk_boxes"] = f"""WITH {_CHUNKS}, z AS (SELECT *, CAST(sum(length(marker) + length(text)) OVER (PARTITION BY doc_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM m)
-    SELECT doc_id, seq, CAST(0 AS INT) AS box_no, 'text' AS class, substr(text, 3) AS text, page_number, stop - length(text) + 2 AS start, stop FROM z
+    SELECT doc_id, seq, CAST(0 AS INT) AS box_no, 'text' AS class, text, page_number, stop - length(text) AS start, stop FROM z
     UNION ALL SELECT doc_id, seq, 1, 'picture', NULL, page_number, NULL, NULL FROM z"""
     o["tag_lines_with_page"] = f"WITH {_TAGGED} SELECT doc_id, line_no, line, page FROM g"
     o["title_index"] = f"WITH {_HEADINGS} SELECT doc_id, line_no, level, text, page FROM ix"
@@ -102,23 +120,38 @@ def _sql() -> dict[str, str]:
     o["running_headers"] = f"WITH {_HEADINGS} SELECT doc_id, text, n FROM bn"
     o["boilerplate_blocks"] = f"WITH {_BLOCKS} SELECT DISTINCT doc_id, key, n FROM k WHERE key <> '' AND n >= 3"
     o["anchor_blocks"] = f"WITH {_NEEDLES} SELECT doc_id, seq, page_idx, needle FROM nd"
-    o["page_markers"] = f"""WITH RECURSIVE {_NEEDLES}, nk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS nth FROM nd),
-    w AS (SELECT doc_id, CAST(0 AS BIGINT) AS nth, CAST(1 AS BIGINT) AS cursor, CAST(1 AS BIGINT) AS last, CAST(NULL AS INT) AS page, '' AS done, 0 AS n, text AS md FROM documents
-      UNION ALL SELECT doc_id, nth, CASE WHEN hit THEN pos + length(needle) ELSE cursor END, CASE WHEN turn THEN pos ELSE last END, CASE WHEN hit THEN page_idx ELSE page END,
-        CASE WHEN turn THEN done || substr(md, last, pos - last) || chr(10) || chr(10) || '<!-- page ' || (page_idx + 1) || ' -->' || chr(10) || chr(10) ELSE done END,
-        CASE WHEN turn THEN n + 1 ELSE n END, md
-      FROM (SELECT *, hit AND page IS NOT NULL AND page <> page_idx AS turn FROM (SELECT *, off > 0 AS hit, cursor + off - 1 AS pos FROM (
-        SELECT w.doc_id, nk.nth, cursor, last, page, done, n, md, page_idx, needle, strpos(substr(md, cursor), needle) AS off FROM w JOIN nk ON w.doc_id = nk.doc_id AND nk.nth = w.nth + 1)))),
-    e AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY nth DESC) = 1)
-    SELECT doc_id, done || substr(md, last) AS md, n AS n_markers FROM e"""
+    o["page_markers"] = f"WITH RECURSIVE {_MARKED} SELECT doc_id, md, n AS n_markers FROM pm"
+    o["marker_audit"] = f"""WITH RECURSIVE {_MARKED}, ls AS (SELECT doc_id, max(page_idx) AS last FROM bl2 GROUP BY doc_id)
+    SELECT doc_id, coalesce(last, 0) + 1 AS pages, n AS n_markers, greatest(coalesce(last, 0) - n, 0) AS missing FROM pm LEFT JOIN ls USING (doc_id)"""
+    o["convert_scanned"] = f"""WITH RECURSIVE {_MARKED.replace("text AS md FROM documents", "'# Part' || chr(10) || text || chr(10) || '## End' AS md FROM documents")},
+    b AS (SELECT doc_id, md FROM pm){_HEADINGS[len(_BODY):]}{_INDEX_TEXT}
+    SELECT doc_id, md || coalesce(index_text, '') AS md, CAST(NULL AS VARCHAR) AS error FROM b LEFT JOIN it USING (doc_id)"""
     o["json_blocks"] = f"WITH {_BLOCKS} SELECT doc_id, seq, text, page_idx FROM k"
     o["rare_tokens"] = f"WITH {_TOKENS} SELECT doc_id, token, n FROM ra"
     o["dictionary_tokens"] = f"WITH {_TOKENS} SELECT doc_id, token, n FROM di"
     o["spelling_twins"] = f"WITH {_TWINS} SELECT doc_id, rare_token, dict_token FROM tw"
-    o["spelling_reconciled"] = f"""WITH {_TWINS}, hs AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents),
-    rf AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(array_to_string(x[1:(len(x) + 1) // 2], chr(10)), '[A-Za-z]{{5,}}')) AS token FROM hs)
-    SELECT doc_id, dict_token, rare_token FROM tw WHERE (doc_id, rare_token) IN (SELECT (doc_id, token) FROM rf) AND (doc_id, dict_token) NOT IN (SELECT (doc_id, token) FROM rf)
-    QUALIFY row_number() OVER (PARTITION BY doc_id, dict_token ORDER BY first, rare_token) = 1"""
+    o["spelling_reconciled"] = f"WITH {_CONFIRMED} SELECT doc_id, dict_token, rare_token FROM cf"
+    words = r"regexp_extract_all(text, '[\pL\pM\pN\p{Pc}]+|[^\pL\pM\pN\p{Pc}]+')"
+    o["spelling_text"] = f"""WITH {_CONFIRMED}, mp AS (SELECT doc_id, map(list(dict_token), list(rare_token)) AS m FROM cf GROUP BY doc_id),
+    tt AS (SELECT doc_id, text, m, {words} AS x FROM documents LEFT JOIN mp USING (doc_id))
+    SELECT doc_id, CASE WHEN m IS NULL THEN text ELSE array_to_string(list_transform(x, lambda t: coalesce(m[t], t)), '') END AS md,
+      CAST(CASE WHEN m IS NULL THEN 0 ELSE len(list_filter(x, lambda t: m[t] IS NOT NULL)) END AS INT) AS n_replaced FROM tt"""
+    o["spelling_log"] = f"""WITH {_CONFIRMED}, rt AS (SELECT doc_id, unnest(regexp_extract_all(replace(text, 'e', 'q'), '[A-Za-z]{{5,}}')) AS rare_token FROM documents),
+    rn AS (SELECT doc_id, rare_token, count(*) AS n_reference FROM rt GROUP BY ALL), tt AS (SELECT doc_id, {words} AS x FROM documents)
+    SELECT doc_id, dict_token, rare_token, CAST(len(list_filter(x, lambda t: t = dict_token)) AS INT) AS n_replaced, n_reference
+    FROM cf JOIN rn USING (doc_id, rare_token) JOIN tt USING (doc_id) WHERE len(list_filter(x, lambda t: t = dict_token)) > 0"""
+    o["spacing_repair"] = rf"""WITH w AS (SELECT doc_id, text, regexp_split_to_array(array_to_string(list_transform(regexp_extract_all(text, '[A-Z]+|[^A-Z]+'), lambda t: CASE WHEN regexp_full_match(t, '[A-Z]{{8,}}')
+        THEN array_to_string(list_transform(range(0, length(t) // 4), lambda k: CASE WHEN k < length(t) // 4 - 1 THEN substr(t, 4 * k + 1, 4) ELSE substr(t, 4 * k + 1) END), ' ') ELSE t END), ''), '[\s]+') AS words FROM documents),
+    ba AS (SELECT *, list_transform(words, lambda x: coalesce(nullif(upper(regexp_replace(x, '[^A-Za-z]', '', 'g')), ''), '|')) AS bare FROM w),
+    dw AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word, unnest(bare) AS bare FROM ba),
+    en AS (SELECT *, sum(length(bare)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM dw),
+    le AS (SELECT doc_id, array_to_string(bare, '') AS letters, words FROM ba),
+    ru AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_extract_all(text, '[\pL\pM\pN\p{{Pc}}]+'), lambda x: regexp_full_match(x, '[A-Z]{{8,}}'))) AS run FROM documents),
+    ft AS (SELECT doc_id, run, a.i AS i, b.i AS j FROM ru JOIN le USING (doc_id) JOIN en a USING (doc_id) JOIN en b USING (doc_id)
+      WHERE a.bare <> '|' AND b.bare <> '|' AND b.stop = a.stop - length(a.bare) + length(run) AND substr(letters, CAST(a.stop - length(a.bare) + 1 AS BIGINT), length(run)) = run
+      QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY a.i) = 1),
+    mp AS (SELECT doc_id, map(list(run), list(array_to_string(words[i:j], ' '))) AS m FROM ft JOIN le USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, CASE WHEN m IS NULL THEN text ELSE array_to_string(list_transform({words}, lambda t: coalesce(m[t], t)), '') END AS text FROM documents LEFT JOIN mp USING (doc_id)"""
     o["format_cells"] = f"WITH {_CELLS} SELECT doc_id, sheet_ix, row, col, value FROM ce"
     o["merged_cells"] = f"WITH {_MERGED} SELECT doc_id, sheet_ix, row, col FROM mb"
     o["sheet_markdown"] = f"""WITH {_CELLS}, {_MERGED}, cv AS (SELECT ce.doc_id, ce.sheet_ix, ce.row, ce.col, CASE WHEN mb.row IS NULL THEN value ELSE '' END AS value
@@ -135,7 +168,7 @@ def _sql() -> dict[str, str]:
     o["ordered_items"] = f"WITH {_ITEMS} SELECT doc_id, seq, md FROM im"
     o["page_documents"] = rf"""WITH {_ITEMS}, d AS (SELECT doc_id, coalesce(string_agg(md, chr(10) || chr(10) ORDER BY seq) FILTER (md <> ''), '') AS md FROM im GROUP BY doc_id)
     SELECT doc_id, md, CASE WHEN length({_STRIP.format("md")}) < 20 THEN 'almost no output' END AS error FROM d"""
-    o["dedupe_headers"] = rf"""WITH t AS (SELECT conv_id AS doc_id, turn // 2 AS section_ix, turn % 2 AS footer, {_STRIP.format("substr(text, 1, 2)")} AS text FROM conversations WHERE turn % 5 <> 4),
+    o["dedupe_headers"] = rf"""WITH t AS (SELECT conv_id AS doc_id, turn // 2 AS section_ix, turn % 2 AS footer, {_STRIP.format("text")} AS text FROM conversations WHERE turn % 5 <> 4),
     f AS (SELECT * FROM t WHERE text <> '' QUALIFY row_number() OVER (PARTITION BY doc_id, text ORDER BY section_ix, footer) = 1)
     SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section_ix, footer) AS INT) AS nth, '*' || CASE footer WHEN 0 THEN 'Header' ELSE 'Footer' END || ': ' || text || '*' AS md FROM f"""
     o["route_files"] = """WITH t AS (SELECT page_id, ['pdf', 'docx', 'xlsx', 'doc', 'xls', 'txt', 'pdf', ''][page_id % 8 + 1] AS ext,
@@ -149,8 +182,8 @@ def _sql() -> dict[str, str]:
       '/out/' || CASE WHEN p_partkey % 3 = 0 THEN 'd' || (p_partkey % 500) ELSE 'x' || p_partkey END || '.md' AS path FROM part)
     SELECT doc_id, path, size FROM t QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY exact DESC, CASE WHEN exact THEN 0 ELSE size END DESC, path DESC, size DESC) = 1"""
     o["image_links"] = "SELECT doc_id, replace('![a](images/a.png) ' || text || ' ![b](images/b.png)', '](images/', '](images/doc' || doc_id || '/') AS md FROM documents"
-    o["engine_diff"] = """WITH d AS (SELECT doc_id, sha256(text) AS v FROM documents), a AS (SELECT * FROM d WHERE doc_id % 3 <> 0),
-    b AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'changed' ELSE v END AS v FROM d WHERE doc_id % 4 <> 0)
+    o["engine_diff"] = """WITH d AS (SELECT doc_id, sha256(text) AS v FROM documents), a AS (SELECT * FROM d),
+    b AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'changed' ELSE v END AS v FROM d)
     SELECT doc_id, a.v AS left_value, b.v AS right_value, CASE WHEN b.doc_id IS NULL THEN 'left_only' WHEN a.doc_id IS NULL THEN 'right_only' WHEN a.v IS NOT DISTINCT FROM b.v THEN 'same' ELSE 'changed' END AS outcome
     FROM (SELECT doc_id, v FROM a) a FULL JOIN b USING (doc_id)"""
     o["refoot_totals"] = """WITH f AS (SELECT l_orderkey AS doc_id, sum(round(l_extendedprice, 2)) AS s FROM lineitem GROUP BY 1)
@@ -166,9 +199,36 @@ def _sql() -> dict[str, str]:
     SELECT * FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY seq) QUALIFY kind = 'footnote' AND lag(kind) OVER w = 'table' AND lead(kind) OVER w = 'table'"""
     o["heading_depth"] = f"WITH {_HEADINGS} SELECT doc_id, line_no, CAST(level * 2 AS INT) AS level, CAST(dense_rank() OVER (PARTITION BY doc_id ORDER BY level) AS INT) AS depth FROM h"
     o["finding_scorecard"] = """SELECT l_orderkey AS doc_id, count(*) FILTER (l_partkey % 3 = 0) AS "A", count(*) FILTER (l_partkey % 3 = 1) AS "B", count(*) FILTER (l_partkey % 3 = 2) AS "C" FROM lineitem GROUP BY 1"""
-    o["html_tables"] = """SELECT c_custkey AS doc_id, CAST(0 AS INT) AS seq, CAST(0 AS INT) AS table_no, r AS row, c AS col, s AS rowspan, CAST(1 AS INT) AS colspan,
-      CASE WHEN r = 1 THEN CAST(c_custkey AS VARCHAR) WHEN c = 0 THEN c_name ELSE 'a & b' END AS text
-      FROM customer, (VALUES (CAST(0 AS INT), CAST(0 AS INT), CAST(2 AS INT)), (0, 1, 1), (1, 1, 1)) v(r, c, s)"""
+    o["html_tables"] = rf"""WITH h AS (SELECT page_id, url, string_split(regexp_replace(html, '(?s)<(?:script|style).*?</(?:script|style)>', '', 'g'), '<p>') AS x FROM pages),
+    p AS (SELECT page_id, unnest(range(1, len(x))) AS i, unnest(x[2:]) AS t FROM h),
+    t AS (SELECT page_id, i, replace(replace(replace(replace(regexp_replace(split_part(t, '</p>', 1), '<[^>]*>', '', 'g'), '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '"'), '&amp;', '&') AS t FROM p),
+    a AS (SELECT page_id, 0 AS table_no, i AS row, CASE i WHEN 1 THEN 2 ELSE 0 END AS col, 1 AS span, {_STRIP.format("t")} AS text FROM t
+      UNION ALL SELECT page_id, 0, 0, 0, 2, url || ' end' FROM pages UNION ALL SELECT page_id, 1, 0, 0, 1, CAST(page_id AS VARCHAR) FROM pages)
+    SELECT CAST(page_id AS VARCHAR) AS doc_id, CAST(0 AS INT) AS seq, CAST(table_no AS INT) AS table_no, CAST(row AS INT) AS row, CAST(col AS INT) AS col, CAST(span AS INT) AS rowspan, CAST(span AS INT) AS colspan, text FROM a"""
+    o["image_heavy_pages"] = f"""WITH {_LINEITEMS}, p AS (SELECT l_orderkey AS doc_id, l_linenumber AS n, l_partkey % 100 > 50 AS heavy FROM li)
+    SELECT doc_id, coalesce(string_agg(n, ',' ORDER BY n) FILTER (heavy), '') AS image, CASE WHEN count(*) FILTER (heavy) / count(*) > 0.2 THEN 'scan' ELSE 'digital' END AS verdict FROM p GROUP BY doc_id"""
+    o["letters_only"] = "SELECT doc_id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters FROM documents"
+    o["wordlist"] = "SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]{5,}'))) AS word FROM benchmark"
+    o["model_available"] = """SELECT p_partkey, (p_partkey % 7 = p_size % 7) AS available FROM part"""
+    o["output_inside"] = "SELECT c_custkey, c_nationkey = c_custkey % 5 AS inside FROM customer"
+    o["too_little"] = f"SELECT doc_id, length({_STRIP.format('text')}) < 20 * greatest(doc_id % 200, 1) * 0.2 AS little FROM documents"
+    o["sql_functions"] = rf"""SELECT doc_id, {_STRIP.format("text")} AS stripped, CAST(length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS INT) AS letters, '<!-- page ' || doc_id || ' -->' AS marker,
+      len(regexp_extract_all(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]')) / greatest(length(text), 1) AS ratio, 't' || doc_id AS ext FROM documents"""
+    grand = _HEADINGS.replace("chr(10) || chr(10) || text AS text FROM conversations", "chr(10) || chr(10) || text || chr(10) || 'GRAND TOTAL ' || turn AS text FROM conversations")
+    o["convert_digital"] = f"""WITH {grand}{_INDEX_TEXT}, pc AS (SELECT doc_id, count(*) AS n FROM c GROUP BY doc_id)
+    SELECT doc_id, md || coalesce(index_text, '') AS md, CASE WHEN length({_STRIP.format("md || coalesce(index_text, '')")}) < 20 * n * 0.2 THEN 'little output' END AS warning, CAST(NULL AS VARCHAR) AS error
+    FROM b JOIN pc USING (doc_id) LEFT JOIN it USING (doc_id)"""
+    o["rotation_summary"] = f"""SELECT doc_id, count(*) FILTER (status = 'fixed') AS n_fixed, count(*) FILTER (status = 'unresolved') AS n_unresolved,
+      coalesce(string_agg(page_number, ',' ORDER BY page_number) FILTER (status = 'unresolved'), '') AS unresolved FROM ({o["rotation_resolve"]}) GROUP BY doc_id"""
+    o["split_headings"] = f"""WITH {_HEADINGS} SELECT doc_id, line_no, CAST(0 AS INT) AS part, CAST(level AS INT) AS level, text FROM h
+    UNION ALL SELECT doc_id, line_no, CAST(1 AS INT), CAST(3 AS INT), 'of  ' || page FROM h WHERE level = 1"""
+    o["xlsx_cells"] = f"""WITH k AS (SELECT *, c_custkey AS k, c_acctbal AS v, c_custkey % 1440 AS m, c_custkey % 60 AS h FROM customer),
+    c AS (SELECT k, CAST(c AS INT) AS col, CASE c WHEN 1 THEN c_name WHEN 2 THEN {_MONEY.format("v", f"({_SIZE})")} WHEN 3 THEN strftime(DATE '1899-12-30' + CAST(40000 + k % 5000 AS INT), '%Y-%m-%d')
+      WHEN 4 THEN format('{{:02d}}:{{:02d}}:00', m // 60, m % 60) WHEN 5 THEN CASE WHEN h < 24 THEN '' WHEN h < 48 THEN '1 day, ' ELSE '2 days, ' END || (h % 24) || ':00:00'
+      WHEN 6 THEN CASE k % 2 WHEN 1 THEN 'TRUE' ELSE 'FALSE' END ELSE '[unresolved formula]' END AS value FROM k, range(1, 8) r(c) WHERE k % 10 <> 0)
+    SELECT CAST(k AS VARCHAR) AS doc_id, CAST(1 AS INT) AS row, col, value FROM c UNION ALL SELECT CAST(c_custkey AS VARCHAR), 0, 0, 'error' FROM customer WHERE c_custkey % 10 = 0"""
+    o["docx_items"] = r"""SELECT CAST(page_id AS VARCHAR) AS doc_id, CAST(s AS INT) AS seq, CASE s WHEN 0 THEN '# Page' WHEN 1 THEN url ELSE '| page | a\|b |' || chr(10) || '|---|---|' || chr(10) || '| ' || page_id || ' |  |' END AS md
+    FROM pages, range(3) r(s) WHERE page_id % 10 <> 0 UNION ALL SELECT CAST(page_id AS VARCHAR), -1, 'error' FROM pages WHERE page_id % 10 = 0"""
     o["inbox_replay"] = "SELECT page_id || '.docx' AS file, CASE WHEN page_id % 10 = 0 THEN 'failed' ELSE 'processed' END AS outcome FROM pages"
     return o
 

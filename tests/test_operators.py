@@ -6,6 +6,7 @@ import datetime as dt
 import io
 import re
 import zipfile
+from xml.etree import ElementTree as ET
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -247,6 +248,98 @@ def test_office_readers(spark):
     assert convert.documents(words).first()["md"] == "*Header: Bank*\n\n---\n\n# Top\n\n| a | b\\|c |\n|---|---|\n| wide | wide |\n\nend"
 
 
+def damaged(content: bytes, name: str) -> dict[str, bytes]:
+    """Files that fail in ways that only show when a part is read."""
+    at = content.index(b"PK\x01\x02")
+    with zipfile.ZipFile(out := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr(name, "<a>" + "some text " * 200 + "</a>")
+    packed = out.getvalue()
+    encrypted, unknown = bytearray(content), bytearray(content)
+    for k in range(at, len(content) - 4):
+        if content[k : k + 4] == b"PK\x01\x02":
+            encrypted[k + 8] |= 1  # the flag of encryption
+            unknown[k + 10] = 99  # a compression that isn't known
+    return {"deflate": packed[:60] + b"\xff" * 20 + packed[80:], "encrypted": bytes(encrypted), "unknown": bytes(unknown), "cut": content[: len(content) // 2], "null": None}
+
+
+def test_no_file_ends_a_batch(spark):
+    for read, good, part in ((office.read_workbooks, xlsx(), "xl/workbook.xml"), (office.read_documents, docx(), "word/document.xml")):
+        bad = damaged(good, part)
+        rows = [("good", bytearray(good)), *((k, v and bytearray(v)) for k, v in bad.items())]
+        first, _, errors = read(spark.createDataFrame(rows, "doc_id string, content binary"))
+        assert {r["doc_id"] for r in errors.collect()} == set(bad) and {r["doc_id"] for r in first.collect()} == {"good"}
+
+
+def test_serial_numbers_as_openers_show_them():
+    shown = lambda v, f, old=False: office._value(ET.fromstring(f'<c xmlns="{office._MAIN[1:-1]}"><v>{v}</v></c>'), f, [], old)[:4]
+    assert shown(0.5, "h:mm") == ("text", None, "12:00:00", None)
+    assert shown(0.000011574, "mm:ss.0") == ("text", None, "00:00:01", None)
+    assert shown(1.25, "[h]:mm:ss") == ("text", None, "1 day, 6:00:00", None)
+    assert shown(45000.75, "m/d/yy h:mm") == ("date", None, None, dt.datetime(2023, 3, 15, 18))
+    assert shown(1, "yyyy") == ("date", None, None, dt.datetime(1900, 1, 1)) and shown(0, "yyyy-mm-dd")[2] == "00:00:00"
+    assert shown(1, "yyyy", True) == ("date", None, None, dt.datetime(1904, 1, 2))
+    for other in ("General", "0.00", '"days" 0', "[Red]0.0", "\\d0"):
+        assert shown(3, other) == ("num", 3.0, None, None)
+
+
+def test_sheets_are_as_wide_as_their_merged_ranges(spark):
+    cells = spark.createDataFrame([(1, 0, "S", 1, 1, "text", None, "a", None, None, None, None)], CELL)
+    merges = spark.createDataFrame([(1, 0, 1, 2, 3, 4), (1, 7, 1, 1, 1, 9)], "doc_id long, sheet_ix int, min_row int, min_col int, max_row int, max_col int")
+    assert values(sheet.sheets(cells, merges), "sheet_ix", "table") == [(0, "| a |  |  |  |\n|---|---|---|---|")]
+
+
+def test_nested_and_broken_html_tables(spark):
+    cells = validate.html_cells("<table><tr><td>A<table><tr><td>x</td></tr></table>a</td><td>B</td></tr><tr><td rowspan='70000' colspan=0>C</table>after<td>D")
+    assert sorted(cells) == [(0, 0, 0, 1, 1, "Aa"), (0, 0, 1, 1, 1, "B"), (0, 1, 0, validate.MOST_ROWS, 1, "C"), (1, 0, 0, 1, 1, "x"), (2, 0, 0, 1, 1, "D")]
+    tall = validate.html_cells("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<tr><td>d")
+    assert [(r, c, t) for _, r, c, _, _, t in tall] == [(0, 0, "a"), (0, 2, "b"), (1, 2, "c"), (2, 0, "d")]
+    blocks = spark.createDataFrame([("p/x.docx", 0, "<table><tr><td>1</table>"), ("y", 1, None), ("z", 2, "")], "doc_id string, seq int, table_body string")
+    assert [tuple(r) for r in validate.html_tables(blocks).collect()] == [("p/x.docx", 0, 0, 0, 0, 1, 1, "1")]
+
+
+def test_audits_and_logs(spark):
+    blocks = spark.createDataFrame([(1, 0, 0), (1, 1, 4), (2, 0, None)], "doc_id long, seq int, page_idx int")
+    marked = spark.createDataFrame([(1, "x", 1), (2, "y", 0), (3, "z", 0)], "doc_id long, md string, n_markers int")
+    assert values(anchor.marker_audit(marked, blocks), "doc_id", "pages", "missing") == [(1, 5, 3), (2, 1, 0), (3, 1, 0)]
+    pages = spark.createDataFrame([(1, 1, "fixed"), (1, 3, "unresolved"), (1, 2, "unresolved"), (2, 1, "untouched")], "doc_id long, page_number int, status string")
+    assert values(rotate.summary(pages), "doc_id", "n_fixed", "n_unresolved", "unresolved") == [(1, 1, 2, [2, 3]), (2, 0, 0, [])]
+    words = spark.createDataFrame([("carbon",)], "word string")
+    primary = spark.createDataFrame([(1, "Karvon Karvon Carbon Carbon. Carbons")], "doc_id long, md string")
+    second = spark.createDataFrame([(1, "Karvon Karvon Karvon")], "doc_id long, md string")
+    assert values(reconcile.change_log(primary, second, words), "dict_token", "rare_token", "n_replaced", "n_reference") == [("Carbon", "Karvon", 2, 3)]
+
+
+def test_joined_headings_and_turned_pages(spark):
+    found = spark.createDataFrame([(1, 0, 2, "One two ## Three #### four"), (1, 1, 1, "C# and # "), (1, 2, 3, "plain")], "doc_id long, line_no int, level int, text string")
+    assert values(validate.split_headings(found), "line_no", "part", "level", "text") == [(0, 0, 2, "One two"), (0, 1, 2, "Three"), (0, 2, 4, "four"), (1, 0, 1, "C# and"), (2, 0, 3, "plain")]
+    blocks = spark.createDataFrame([(d, k, kind, r) for d, r in ((1, 90), (2, 0), (3, None)) for k, kind in enumerate(["table", "footnote", "table"])], "doc_id long, seq int, kind string, rotation int")
+    assert values(validate.footnote_between_tables(blocks), "doc_id") == [(1,), (3,)]
+    assert validate.footnote_between_tables(blocks.drop("rotation")).count() == 3
+
+
+def test_diff_of_rows_on_one_side_and_repeated_headers(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "doc_id long, v string")
+    right = spark.createDataFrame([(2, "c"), (3, None), (4, "d")], "doc_id long, v string")
+    assert values(route.diff(left, right, "doc_id", "v"), "doc_id", "outcome") == [(1, "left_only"), (2, "changed"), (3, "same"), (4, "right_only")]
+    parts = spark.createDataFrame([(1, s, "Header", False, t) for s, t in enumerate(["ab c", "ab d", " ab c", ""])], "doc_id long, section_ix int, label string, linked boolean, text string")
+    assert values(wordproc.headers_footers(parts), "nth", "md") == [(1, "*Header: ab c*"), (2, "*Header: ab d*")]
+
+
+def test_markdown_files(spark, tmp_path):
+    results = spark.createDataFrame([("/in/a.docx", "é text"), ("/in/b.xlsx", None)], "doc_id string, md string")
+    assert [(r["path"], r["length"]) for r in sinks.write_markdown_files(results, str(tmp_path / "md")).collect()] == [(f"{tmp_path}/md/a.md", 7)]
+    assert [p.name for p in (tmp_path / "md").iterdir()] == ["a.md"] and (tmp_path / "md/a.md").read_text(encoding="utf-8") == "é text"
+
+
+def test_a_failed_move_loses_nothing(spark, tmp_path):
+    (tmp_path / "done").mkdir()
+    (tmp_path / "done" / "a").write_text("old")
+    (tmp_path / "a").write_text("new")
+    inbox.move(spark, str(tmp_path / "a"), str(tmp_path / "done"))
+    inbox.move(spark, str(tmp_path / "a"), str(tmp_path / "done"))
+    assert (tmp_path / "done" / "a").read_text() == "new" and [p.name for p in (tmp_path / "done").glob("[!.]*")] == ["a"]
+
+
 def test_whole_conversions(spark):
     chunks = spark.createDataFrame([(1, 0, 1, "# A\nGRANDTOTAL of everything that is here"), (1, 1, 2, "## B\nmore text of the second page")], "doc_id long, seq int, page_number int, text string")
     words = spark.createDataFrame([(1, 1, 0, "GRAND"), (1, 1, 1, "TOTAL")], "doc_id long, page_number int, seq int, word string")
