@@ -4,9 +4,10 @@ Candidates come from patterns: the four base kinds, which always count, and
 further shapes (base shapes inside a match that failed as a whole, social
 security numbers, national phone numbers, spelled-out addresses, credentials).
 On each candidate, labelers vote yes, no or abstain: strict patterns,
-checksums, gazetteers and context words. Votes are counted over all documents
-by kind; expectation-maximisation over that bounded table estimates how
-reliable each labeler is, and its posteriors train a logistic classifier on
+checksums, gazetteers and context words. The further candidates' votes are
+counted over all documents by kind; for each kind, expectation-maximisation over
+that bounded table estimates what each labeler says of true and of false
+candidates, its silence included. The posteriors train a logistic classifier on
 kind and votes, which has the last word on the further candidates.
 
 All scanning is linear in the text, whatever it holds.
@@ -15,6 +16,7 @@ All scanning is linear in the text, whatever it holds.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -190,12 +192,28 @@ def label(text: str, kind: str, start: int, end: int) -> str:
     return strict + checksum + gazetteer + context + counter + borders
 
 
+VOTES = "yn-"
+#: What labelers are expected to say (y, n, -) of true and of false candidates before any is seen, worth STRENGTH candidates.
+#: A checksum can't fail on the real thing but for a slip, and one random number in ten passes it.
+EXPECTED = {
+    "strict": ((0.60, 0.05, 0.35), (0.40, 0.20, 0.40)),
+    "checksum": ((0.75, 0.02, 0.23), (0.10, 0.67, 0.23)),
+    "gazetteer": ((0.50, 0.10, 0.40), (0.30, 0.30, 0.40)),
+    "context": ((0.40, 0.01, 0.59), (0.10, 0.01, 0.89)),
+    "counter_context": ((0.01, 0.04, 0.95), (0.01, 0.20, 0.79)),
+    "borders": ((0.90, 0.05, 0.05), (0.60, 0.35, 0.05)),
+}
+STRENGTH, ROUNDS = 20.0, 50
+#: Candidates of each kind that the classifier learns from besides the corpus's: every pattern of votes, by its expected share.
+IMAGINED = 20.0
+
+
 @dataclass(frozen=True)
 class SpanModel:
-    """reliability: of each labeler; weights: of the classifier, by (kind, votes) features."""
+    """prior: share of true candidates by kind; says[kind][z, j, v]: P(labeler j says v) of false (z = 0) and true candidates; weights of the classifier."""
 
-    prior: float
-    reliability: tuple[float, ...]
+    prior: dict[str, float]
+    says: dict[str, np.ndarray]
     weights: dict[str, float]
 
     def probability(self, kind: str, votes: str) -> float:
@@ -203,39 +221,52 @@ class SpanModel:
 
 
 def features(kind: str, votes: str) -> list[str]:
-    return ["bias", f"kind={kind}", *(f"{n}={v}" for n, v in zip(LABELERS, votes, strict=True) if v != "-")]
-
-
-def train(table: list[tuple[str, str, int]], rounds: int = 30, steps: int = 300) -> SpanModel:
-    """Fit on (kind, votes, count) rows: EM for the labelers' reliabilities, then the classifier on its posteriors."""
-    table = sorted(table)
-    n = np.array([c for _, _, c in table], float)
-    vote = np.array([[{"y": 1, "n": -1, "-": 0}[v] for v in votes] for _, votes, _ in table], float).reshape(-1, len(LABELERS))
-    prior, acc = 0.7, np.full(len(LABELERS), 0.8)
-    post = np.zeros(len(n))
-    for _ in range(rounds):
-        weight = np.log(acc / (1 - acc))
-        post = 1 / (1 + np.exp(-(np.log(prior / (1 - prior)) + vote @ weight)))
-        if not len(n):
-            break
-        prior = float(np.clip((n @ post + 7) / (n.sum() + 10), 0.02, 0.98))
-        right = n @ ((vote > 0) * post[:, None] + (vote < 0) * (1 - post)[:, None])
-        acc = np.clip((right + 8) / (n @ np.abs(vote) + 10), 0.55, 0.99)
-    names = sorted({f for k, v, _ in table for f in features(k, v)})
-    at = {f: i for i, f in enumerate(names)}
-    x = np.zeros((len(table), len(names)))
-    for i, (k, v, _) in enumerate(table):
-        x[i, [at[f] for f in features(k, v)]] = 1
-    w = np.zeros(len(names))
-    share = n / n.sum() if len(n) else n
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-(x @ w)))
-        hess = (x * (share * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(names))
-        step = np.linalg.solve(hess, x.T @ (share * (post - p)) - 1e-3 * w) if len(names) else w
-        w = w + step
-        if not len(step) or np.abs(step).max() < 1e-8:
-            break
-    return SpanModel(prior, tuple(acc.tolist()), dict(zip(names, w.tolist(), strict=True)))
+    return [kind, *(f"{kind}:{n}={v}" for n, v in zip(LABELERS, votes, strict=True))]
+
+
+def estimate(votes: list[str], n: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Expectation-maximisation for one kind: share of true candidates, what labelers say, and each pattern's posterior."""
+    expected = np.array([[EXPECTED[name][1 - z] for name in LABELERS] for z in (0, 1)])
+    at = np.array([[VOTES.index(v) for v in pattern] for pattern in votes], int).reshape(-1, len(LABELERS))
+    j = np.arange(len(LABELERS))
+    prior, says, post = 0.5, expected, np.zeros(len(votes))
+    for _ in range(ROUNDS if len(votes) else 0):
+        like = np.log([1 - prior, prior])[:, None] + np.log(says[:, j, at]).sum(axis=2)
+        post = 1 / (1 + np.exp(like[0] - like[1]))
+        prior = (n @ post + 0.5 * STRENGTH) / (n.sum() + STRENGTH)
+        seen = np.zeros_like(says)
+        for z, weight in ((0, n * (1 - post)), (1, n * post)):
+            np.add.at(seen[z], (j, at), np.repeat(weight[:, None], len(LABELERS), axis=1))
+        says = (seen + STRENGTH * expected) / (seen + STRENGTH * expected).sum(axis=2, keepdims=True)
+    return float(prior), says, post
+
+
+def train(table: list[tuple[str, str, int]], steps: int = 100) -> SpanModel:
+    """Fit on (kind, votes, count) rows of further candidates: EM for each kind, then the classifier on the posteriors."""
+    patterns = ["".join(p) for p in itertools.product(VOTES, repeat=len(LABELERS))]
+    at = np.array([[VOTES.index(v) for v in p] for p in patterns])
+    priors, says, weights = {}, {}, {}
+    for kind in KINDS:
+        own = sorted((v, c) for k, v, c in table if k == kind)
+        n = np.array([c for _, c in own], float)
+        priors[kind], says[kind], post = estimate([v for v, _ in own], n)
+        both = np.stack([p * says[kind][z][np.arange(len(LABELERS)), at].prod(axis=1) for z, p in ((0, 1 - priors[kind]), (1, priors[kind]))])
+        names = sorted({f for p in patterns for f in features(kind, p)})
+        place = {f: i for i, f in enumerate(names)}
+        x = np.zeros((len(own) + len(patterns), len(names)))
+        for i, p in enumerate([v for v, _ in own] + patterns):
+            x[i, [place[f] for f in features(kind, p)]] = 1
+        y, share = np.concatenate((post, both[1] / both.sum(axis=0))), np.concatenate((n, IMAGINED * both.sum(axis=0)))
+        w = np.zeros(len(names))
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            hess = (x * (share * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(names))
+            step = np.linalg.solve(hess, x.T @ (share * (y - p)) - 0.01 * w)
+            w = w + np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-7:
+                break
+        weights |= dict(zip(names, w.tolist(), strict=True))
+    return SpanModel(priors, says, weights)
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,9 +275,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(whole, "text"):
             for text in batch.column("text").to_pylist():
                 if text:
-                    base = base_spans(text)
-                    seen.update((k, label(text, k, a, b)) for k, a, b in base)
-                    seen.update((k, label(text, k, a, b)) for k, a, b in _further(text, base))
+                    seen.update((k, label(text, k, a, b)) for k, a, b in candidates(text))
     keys = list(seen)
     yield pa.RecordBatch.from_arrays(
         [pa.array([k for k, _ in keys], pa.string()), pa.array([v for _, v in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())],
@@ -255,9 +284,10 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame) -> SpanModel:
-    """The span model of a corpus: every candidate of every document is counted.
+    """The span model of a corpus: every further candidate of every document is counted.
 
-    The driver gets one row per kind and vote pattern, at most 6 * 3**6.
+    The driver gets one row per kind and vote pattern, at most 6 * 3**6. Null
+    texts have none; an empty table gives a model of what is expected alone.
     """
     counted = spread(docs.select("text")).mapInArrow(_votes, "kind string, votes string, n long")
     rows = counted.groupBy("kind", "votes").agg(F.sum("n").alias("n")).collect()
@@ -286,11 +316,13 @@ def redact(text: str, found: list[tuple[str, int, int]]) -> str:
 
 
 def find(docs: DataFrame, model: SpanModel, threshold: float = 0.5) -> DataFrame:
-    """doc_id, counts of the base kinds, base_sha256 and spans, a row for each row.
+    """doc_id, counts of the base kinds, base_sha256, spans and n_spans (their number), a row for each row.
 
     Null and empty texts have no span (the digest is that of the empty string).
-    Repeated rows are treated alike, other columns aren't read, and an empty
-    table gives an empty result. Offsets are code points, ends exclusive.
+    Repeated rows, and rows without an id, are treated like others; other
+    columns aren't read, whatever their names; an empty table gives an empty
+    result. Spans with one start come in the order of KINDS. Offsets are code
+    points, ends exclusive; a text of any length is scanned whole.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,21 +332,28 @@ def find(docs: DataFrame, model: SpanModel, threshold: float = 0.5) -> DataFrame
                 counts = [pa.array([sum(s[0] == k for s in base) for base, _ in rows], pa.int64()) for k in BASE]
                 digests = pa.array([hashlib.sha256(written(base).encode()).hexdigest() for base, _ in rows], pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), *counts, digests, pa.array([written(s) for _, s in rows], pa.string())],
-                    ["doc_id", *(f"n_{k}" for k in BASE), "base_sha256", "spans"],
+                    [batch.column("doc_id"), *counts, digests, pa.array([written(s) for _, s in rows], pa.string()), pa.array([len(s) for _, s in rows], pa.int64())],
+                    ["doc_id", *(f"n_{k}" for k in BASE), "base_sha256", "spans", "n_spans"],
                 )
 
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
     return spread(docs.select("doc_id", "text")).mapInArrow(each, schema)
 
 
 def redacted(docs: DataFrame, model: SpanModel, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with the personal data of ``text`` replaced by kind names; all other columns as they are."""
+    """``docs`` with the personal data of ``text`` replaced by kind names; all other columns, of any name, as they are.
+
+    Every row stays, those without an id and repeated ones too; null texts stay
+    null and empty ones empty; an empty table gives an empty result.
+    """
+
+    at = docs.columns.index("text")
+    numbered = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # no name can be in the way
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
-                texts = [redact(t, spans(t, model, threshold)[1]) if t else t for t in batch.column("text").to_pylist()]
-                yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+            for batch in slices(whole, f"c{at}"):
+                texts = [redact(t, spans(t, model, threshold)[1]) if t else t for t in batch.column(at).to_pylist()]
+                yield batch.set_column(at, f"c{at}", pa.array(texts, pa.string()))
 
-    return spread(docs).mapInArrow(each, docs.schema)
+    return spread(numbered).mapInArrow(each, numbered.schema).toDF(*docs.columns)
