@@ -20,23 +20,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import crc_fold, cut, slices, spread, words_of
+from .shared import crc_fold, materialise, slices, spread, words_of
 
 #: Labelled documents of each kind that are expected to be learned from.
 SAMPLE = 3000
-#: Features of the field, at most, by how far they tell toxic documents from others.
-FEATURES = 4000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _TRIM = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _NO_TOKEN = (-6.0, -6.0)
 
 
 def token_features(word: str) -> tuple[str, ...]:
-    """A word's features: itself without outer punctuation, in lower case, and its first four and five letters."""
+    """A word's features: itself without outer punctuation, in lower case, and its first four and five letters, if it has them."""
     w = word.strip(_TRIM).lower()
-    if len(w) < 4:
+    if not w:
         return ()
-    return (f"w:{w[:40]}", f"4:{w[:4]}") if len(w) < 5 else (f"w:{w[:40]}", f"4:{w[:4]}", f"5:{w[:5]}")
+    return (f"w:{w}", *(f"{k}:{w[:k]}" for k in (4, 5) if len(w) >= k))
 
 
 @dataclass(frozen=True)
@@ -120,7 +118,7 @@ def _learned_from(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     rate = F.when(F.col("toxic") == 1, min(1.0, SAMPLE / max(1, sizes.get(1, 0)))).otherwise(min(1.0, SAMPLE / max(1, sizes.get(0, 0))))
     draw = F.pmod(F.xxhash64(F.lit("toxic sample"), "doc_id"), F.lit(1_000_003)) / F.lit(1_000_003)
-    chosen = cut(known.where(draw < rate))  # about 2 * SAMPLE rows
+    chosen = materialise(known.where(draw < rate))  # about 2 * SAMPLE rows
     return docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
 
@@ -128,11 +126,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     """Train on about SAMPLE documents of either kind.
 
     ``labels`` has doc_id and toxic; null ones teach nothing, and of repeated
-    ones the highest counts. The driver gets at most FEATURES features and the
-    featured tokens of the sample. Without labels of both kinds, no feature is
-    learned and all documents have one score.
+    ones the highest counts. The driver gets the sample's features that come
+    with toxic documents and the sample's tokens that have one, so what it
+    holds is bounded by the sample's texts. Without labels of both kinds, no
+    feature is learned and all documents have one score.
     """
-    sample = cut(_learned_from(docs, labels).dropDuplicates(["text"]))
+    sample = materialise(_learned_from(docs, labels).dropDuplicates(["text"]))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -145,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad_n, good_n = sizes.get(1, 0), sizes.get(0, 0)
     lift = F.log((F.col("bad") + 0.5) / (bad_n + 1)) - F.log((F.col("good") + 0.5) / (good_n + 1))
-    chosen = counts.where(F.col("bad") >= 4 + 0.002 * bad_n).withColumn("lift", lift).where("lift > 1.5").orderBy(F.desc(F.col("lift") * F.log("bad")), "f").limit(FEATURES)
+    chosen = counts.where(F.col("bad") >= 4 + 0.002 * bad_n).withColumn("lift", lift).where("lift > 1.5")
     features = {r["f"]: r["lift"] for r in chosen.collect()} if bad_n and good_n else {}
     pure = {f for f, x in features.items() if x > 2.5}
 
@@ -262,8 +261,9 @@ def score(docs: DataFrame, model: ToxicModel, threshold: float = 0.5) -> DataFra
     ``spans`` are (start, end, probability) of the tokens whose marginal
     reaches ``threshold``, in code points. Null, empty and blank texts have the
     score of a text without any featured token and no span. Whole texts are
-    read; repeated rows are treated alike, other columns aren't read, a null
-    doc_id is not held out, and an empty table gives an empty result.
+    read; repeated rows are treated alike, other columns aren't read, whatever
+    their names, a null doc_id is not held out, and an empty table gives an
+    empty result.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
