@@ -26,7 +26,7 @@ SAMPLE = 1500
 ROUNDS = 2
 #: Probability of a character that is no piece, alike for all languages.
 UNKNOWN = 1e-7
-#: Words shorter than this are handled together with others of their length.
+#: Words shorter than this are handled together with others of their length, longer ones by themselves.
 TOGETHER = 40
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _STEP = np.uint64(0x100000001B3)
@@ -139,20 +139,38 @@ def log_probabilities(words: list[str], vocabulary: Pieces, table: np.ndarray) -
     return out
 
 
+def _ending(word: str, j: int, vocabulary: Pieces) -> Iterator[tuple[int, int]]:
+    """(start, piece number) of the pieces that end at ``j``."""
+    for i in range(max(0, j - vocabulary.longest), j):
+        found = vocabulary.ids.get(word[i:j], vocabulary.unknown if i == j - 1 else None)
+        if found is not None:
+            yield i, found
+
+
+def _prefixes(word: str, vocabulary: Pieces, table: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of every prefix of a word of any length; in logs, so nothing underflows."""
+    out = np.zeros((len(word) + 1, table.shape[1]))
+    for j in range(1, len(word) + 1):
+        # A single character is always a piece, so no sum is of nothing; the prefix one shorter sets the scale.
+        out[j] = out[j - 1] + np.log(sum(np.exp(out[i] - out[j - 1]) * table[found] for i, found in _ending(word, j, vocabulary)))
+    return out
+
+
 def _forward(word: str, vocabulary: Pieces, table: np.ndarray) -> np.ndarray:
-    """As above for one word of any length: rescaled at every character, so nothing underflows."""
-    n, reach = len(word), vocabulary.longest
-    alpha = [np.ones(table.shape[1])]
-    scale = np.zeros(table.shape[1])
-    for j in range(1, n + 1):
-        total = np.zeros(table.shape[1])
-        for i in range(max(0, j - reach), j):
-            found = vocabulary.ids.get(word[i:j], vocabulary.unknown if i == j - 1 else None)
-            if found is not None:
-                total = total + alpha[i - j] * table[found]
-        scale += np.log(total)
-        alpha = [a / total for a in alpha[-reach:]] + [np.ones(table.shape[1])]
-    return scale
+    """As above for one word of any length."""
+    return _prefixes(word, vocabulary, table)[-1]
+
+
+def _expected_alone(word: str, weight: np.ndarray, vocabulary: Pieces, table: np.ndarray, out: np.ndarray) -> None:
+    """Add one word's expected piece counts to ``out``: each end passes what it has on to its pieces' starts, by their shares."""
+    log = _prefixes(word, vocabulary, table)
+    through = np.zeros_like(log)
+    through[-1] = weight
+    for j in range(len(word), 0, -1):
+        for i, found in _ending(word, j, vocabulary):
+            share = through[j] * np.exp(log[i] - log[j]) * table[found]
+            out[found] += share
+            through[i] += share
 
 
 def expected(words: list[str], weight: np.ndarray, vocabulary: Pieces, table: np.ndarray) -> np.ndarray:
@@ -160,6 +178,8 @@ def expected(words: list[str], weight: np.ndarray, vocabulary: Pieces, table: np
     out = np.zeros_like(table)
     for at, codes in by_length(words, least=1):
         if codes is None:
+            for k in at.tolist():
+                _expected_alone(words[k], weight[k], vocabulary, table, out)
             continue
         edges = list(vocabulary.edges(codes))
         alpha = np.zeros((codes.shape[1] + 1, len(at), table.shape[1]))
@@ -196,8 +216,8 @@ def fit(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS) ->
 
     Rows whose crc32(doc_id as text) mod 4 is 2, or that have no doc_id, are
     held out. The driver gets the languages and at most a row for each piece
-    and language. Words of TOGETHER characters and more teach nothing; all
-    words are scored.
+    and language. Every word of the sample teaches, however long. An empty
+    table gives a model without languages; repeated rows are learned from each.
     """
     labelled = docs.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
     labelled = labelled.where(~crc_fold(F.col("doc_id"), 4, 2))
@@ -238,8 +258,8 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     ``und`` with score 0 if a text is null or has no letter, or nothing was
     learned; else the likeliest language, of equals the first by name, and its
     posterior under equal priors. Every word of a text counts. Repeated rows
-    are treated alike, other columns aren't read, and a null doc_id is not held
-    out. An empty table gives an empty result.
+    are treated alike, other columns aren't read, whatever their names, and a null
+    doc_id is not held out. An empty table gives an empty result.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
