@@ -124,7 +124,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, with_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids of every document, each numbered within its task and length.
 
-    ``with_ids`` adds the ids as little-endian unsigned 32-bit integers.
+    ``with_ids`` adds the ids as little-endian unsigned 32-bit integers. A null
+    or empty text is one piece of the id 0; rows without a doc_id, and repeated
+    ones, have their own pieces; other columns aren't read.
     """
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,9 +241,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
 
     doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
     Null and empty texts have the single id 0. A text longer than ``capacity``
-    is cut into full pieces and a rest. Rows that repeat a doc_id are packed
-    each; equal lengths are numbered in any order. Other columns aren't read;
-    an empty table gives an empty result. Pieces are written to the shared
+    is cut into full pieces and a rest. Rows that repeat a doc_id, or have none,
+    are packed each; equal lengths are numbered in any order. Other columns
+    aren't read, whatever their names; an empty table gives an empty result. Pieces are written to the shared
     folder once, since their ranks must not change; the driver gets one count a
     length, at most ``capacity`` numbers.
     """

@@ -266,10 +266,10 @@ def codec(*key) -> PieceCodec:
 def encode(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, path: str = VOCABULARY, with_ids: bool = True) -> DataFrame:
     """doc_id, n_pieces, ids_crc32, lossless (decoding gave the text back) and, if asked for, ids.
 
-    A null text is empty; an empty one has no ids. Whole texts are encoded.
-    Rows of one doc_id and text are encoded alike, copies under other ids are
-    not, other columns aren't read, and an empty
-    table gives an empty result.
+    A null text is empty; an empty one has no ids. Whole texts are encoded,
+    however long. Rows of one doc_id and text are encoded alike, and so are
+    equal texts without an id; copies under other ids are not. Other columns
+    aren't read, whatever their names, and an empty table gives an empty result.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
