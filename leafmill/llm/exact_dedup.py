@@ -4,7 +4,7 @@ The index is a Parquet table of ``(digest, keep_id)``, bucketed and sorted by
 digest. New data is reduced to one row per digest (partial aggregation, so a
 group of copies of any size costs one row per map task), anti-joined with the
 index by sort-merge on the buckets, and what is new is appended. Rows then get
-their group by an equi-join whose two sides are plain exchanges, so adaptive
+their group by one equi-join whose two sides are plain exchanges, so adaptive
 execution splits the partition of a very large group.
 """
 
@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import WS, cut, drop_path, shared_dir
+from .shared import WS, drop_path, fresh, materialise, numbered, plain_columns, scratch
 
 
 def normalised(text: Column) -> Column:
@@ -75,51 +75,66 @@ class DigestIndex:
         drop_path(self.spark, self.path)
 
 
-def groups(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def _decided(marks: DataFrame, index: DigestIndex, batches: int) -> DataFrame:
+    """digest, keep_id, group_size and row (that stays, null if none does) of each digest of ``marks`` (digest, doc_id, row).
+
+    ``marks`` goes into the index in ``batches`` ranges of ids, smallest first,
+    rows without an id last. A partial minimum is taken by every task, so a
+    group of copies is a row a task, whatever its size.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "row")).alias("first")
+    firsts = materialise(marks.groupBy("digest").agg(first, F.count("*").alias("group_size")))
+    ends = firsts.agg(F.min("first.doc_id"), F.max("first.doc_id")).first()
+    low, high = (ends[0] or 0), (ends[1] or 0)
+    part = F.floor((F.col("first.doc_id").cast("double") - float(low)) / float((high - low) // batches + 1))
+    part = F.coalesce(F.least(part, F.lit(batches - 1)), F.lit(batches - 1))
+    for k in range(batches):
+        index.add(firsts.where(part == k).select("digest", F.col("first.doc_id").alias("keep_id")))
+    stays = F.when(F.col("first.doc_id").eqNullSafe(F.col("keep_id")), F.col("first.row"))
+    return materialise(firsts.join(index.plain(), "digest").select("digest", "keep_id", "group_size", stays.alias("row")))
+
+
+def groups(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFrame:
     """Each row's group of equal texts: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after white-space normalisation; null counts
-    as empty, and all empty texts are one group. The smallest doc_id stays,
-    unless the index knew the text from earlier data: then that row stays.
-    ``group_size`` counts the rows of ``docs``. Rows that repeat a doc_id
-    share its fate: all rows with the staying id are kept, so a caller who
-    wants one row must have unique ids. Columns of ``docs`` other than doc_id
-    and text are not read, so clashing names don't matter. An empty table
-    gives an empty result.
+    as empty, and all empty texts are one group. The row with the smallest
+    doc_id stays, unless the index knew the text from earlier data with another
+    id: then none of these does. Rows without an id come after all others; of
+    rows with one id, or none, the first written stays, so exactly one row of a
+    group does. ``group_size`` counts the rows of ``docs``. Columns of ``docs``
+    other than doc_id and text are not read, so clashing names don't matter. An
+    empty table gives an empty result. ``index`` may be dropped afterwards.
     """
-    digests = cut(docs.select("doc_id", F.unhex(digest(F.col("text"))).alias("digest")))
-    firsts = cut(digests.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
-    index.add(firsts)
-    return (
-        digests.join(firsts.select("digest", "group_size"), "digest")
-        .join(index.plain(), "digest")
-        .select(
-            "doc_id",
-            "keep_id",
-            "group_size",
-            F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
-            F.lower(F.hex("digest")).alias("text_sha256"),
-        )
+    marks = docs.select("doc_id", F.unhex(digest(F.col("text"))).alias("digest"), F.monotonically_increasing_id().alias("row"))
+    marks = materialise(marks, "digests")
+    decided = _decided(marks, index, batches).withColumnRenamed("row", "stays")
+    return marks.join(decided, "digest").select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        F.col("row").eqNullSafe(F.col("stays")).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
 def new_index(spark: SparkSession, buckets: int | None = None) -> DigestIndex:
-    """An empty index in the shared folder, with as many buckets as there are shuffle partitions."""
+    """An empty index in the shared folder, with as many buckets as there are shuffle partitions, for this session only."""
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return DigestIndex(spark, f"{shared_dir(spark)}/leafmill-digest-index-{uuid.uuid4().hex}", n)
+    return DigestIndex(spark, scratch(spark, "digest-index"), n)
 
 
-def keep_first(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns.
+def keep_first(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns: one of each group of :func:`groups`, by the same rules.
 
-    The digest of a row and the smallest id of its group decide: a semi-join of
-    (digest, doc_id) with the index, whose digests are unique, so no group
-    meets in one task by more than its exchange, which adaptive execution
-    splits. Of rows that repeat a doc_id with equal text, all stay.
+    Any further columns are carried along, whatever their names. Rows and their
+    digests are written once with a row number; the numbers that stay are
+    unique, so the semi-join by them meets no hot key. It hashes those numbers,
+    a few bytes a row, and sorts no text; they grow with the rows, so they are
+    never broadcast.
     """
-    marked = docs.withColumn("__digest", F.unhex(digest(F.col("text"))))
-    index.add(marked.groupBy(F.col("__digest").alias("digest")).agg(F.min("doc_id").alias("keep_id")))
-    kept = index.plain().select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
-    return marked.join(
-        kept, (marked["__digest"] == kept["__digest"]) & (marked["doc_id"] == kept["__keep"]), "left_semi"
-    ).select(*[marked[c] for c in docs.columns])
+    name = fresh(docs, "digest_")
+    table, row = numbered(docs, **{name: F.unhex(digest(F.col("text")))})
+    marks = table.select("doc_id", F.col(name).alias("digest"), F.col(row).alias("row"))
+    stays = _decided(marks, index, batches).where("row IS NOT NULL").select(F.col("row").alias(row))
+    return table.join(stays.hint("shuffle_hash"), row, "left_semi").select(*plain_columns(docs))

@@ -296,4 +296,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     table, row = numbered(docs)
     marks = materialise(fingerprints(table, row), "fingerprints")
     kept = materialise(_named(marks).select(F.col("first.row").alias(row)).distinct())
-    return table.join(kept, row, "left_semi").select(*plain_columns(docs))
+    # Row numbers grow with the rows, so they are never broadcast.
+    return table.join(kept.hint("shuffle_hash"), row, "left_semi").select(*plain_columns(docs))
