@@ -234,8 +234,3 @@ LOWER_TABLE = _UPPER.tobytes()
 def lower_bytes(words: list[str]) -> list[bytes]:
     """UTF-8 of words with A to Z lower-cased; other letters keep their case."""
     return [w.encode().translate(LOWER_TABLE) for w in words]
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a table in the shared folder."""
-    return materialise(df)

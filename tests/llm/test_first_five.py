@@ -291,6 +291,55 @@ def test_pipeline(spark, rows, tmp_path):
     assert sum(r["length"] for r in got) > 0
 
 
+def test_pii_em_matches_plain_loop():
+    rng = np.random.default_rng(6)
+    seen = [("".join(rng.choice(list("yn-"), 6)), int(c)) for c in rng.integers(1, 40, 25)]
+    seen = list({v: (v, c) for v, c in seen}.values())
+    prior, says, post = pii.estimate([v for v, _ in seen], np.array([c for _, c in seen], float))
+    start = {z: [dict(zip("yn-", pii.EXPECTED[name][1 - z])) for name in pii.LABELERS] for z in (0, 1)}
+    now, p = start, 0.5
+    for _ in range(pii.ROUNDS):
+        want = []
+        for v, _ in seen:
+            like = [q * np.prod([now[z][j][x] for j, x in enumerate(v)]) for z, q in ((0, 1 - p), (1, p))]
+            want.append(like[1] / sum(like))
+        total = sum(c for _, c in seen)
+        p = (sum(c * w for (_, c), w in zip(seen, want)) + 0.5 * pii.STRENGTH) / (total + pii.STRENGTH)
+        after = {0: [], 1: []}
+        for z in (0, 1):
+            for j in range(6):
+                count = {x: pii.STRENGTH * start[z][j][x] for x in "yn-"}
+                for (v, c), w in zip(seen, want):
+                    count[v[j]] += c * (w if z else 1 - w)
+                after[z].append({x: k / sum(count.values()) for x, k in count.items()})
+        now = after
+    assert np.isclose(prior, p) and np.allclose(post, want)
+    assert np.allclose(says, [[[now[z][j][x] for x in "yn-"] for j in range(6)] for z in (0, 1)])
+
+
+def test_pii_classifier_follows_em_and_rejects():
+    table = [("card", "ynn--y", 97), ("card", "yny--y", 61), ("card", "yyy--y", 6), ("credential", "yy-y-y", 166)]
+    model = pii.train(table)
+    for kind, votes, _ in table:
+        own = [(v, c) for k, v, c in table if k == kind]
+        post = pii.estimate([v for v, _ in own], np.array([c for _, c in own], float))[2][[v for v, _ in own].index(votes)]
+        assert abs(model.probability(kind, votes) - post) < 0.05
+    assert model.probability("card", "ynn--y") < 0.5 and model.probability("card", "yny--y") < 0.5
+    assert model.probability("card", "yyy--y") > 0.5 and model.probability("credential", "yy-y-y") > 0.5
+    assert pii.train([]).probability("card", "yny--y") < 0.5 < pii.train([]).probability("ssn", "yy-y-y")
+
+
+def test_pii_leaves_long_numbers_alone(spark):
+    """Sixteen digits that fail the checksum are no card, though they stand alone among words."""
+    texts = [f"order {n} was shipped from the store" for n in range(9_807_915_762_804_400, 9_807_915_762_804_460)]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    model = pii.fit(df)
+    clean = by_id(pii.redacted(df, model))
+    for i, t in enumerate(texts):
+        digits = re.search("[0-9]{16}", t).group()
+        assert clean[i]["text"] == (t.replace(digits, "[CARD]") if pii.luhn(digits) else t)
+
+
 @pytest.mark.parametrize("quote", ["", '"'])
 def test_credentials_of_any_length_and_keys_without_digits(quote):
     secret = "aB3_" * 500
