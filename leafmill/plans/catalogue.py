@@ -395,14 +395,14 @@ def convert_digital(spark, sf_dir):
     chunks = a.conversation_chunks(spark, sf_dir)
     merged = chunks.withColumn("text", F.concat("text", F.lit("\nGRANDTOTAL "), F.col("seq").cast("string")))
     words = chunks.select("doc_id", "page_number", F.posexplode(F.array(*map(F.lit, ("So", "GRAND", "TOTAL")))).alias("seq", "word"))
-    return convert.digital(merged, words)
+    return convert.conversion("text")(merged, words)
 
 
 @query
 def convert_scanned(spark, sf_dir):
     """Documents as recognised texts under two headings; a second pass has nothing to correct."""
     docs = a.document_markdown(spark, sf_dir).withColumn("md", F.concat(F.lit("# Part\n"), "md", F.lit("\n## End")))
-    return convert.scanned(docs, a.document_blocks(spark, sf_dir))
+    return convert.conversion("ocr")(docs, a.document_blocks(spark, sf_dir))
 
 
 @query
@@ -497,29 +497,66 @@ def docx_items(spark, sf_dir):
     return wordproc.item_markdown(items).select("doc_id", "seq", "md").unionByName(failed)
 
 
+def _as_files(pages: DataFrame, folder: str, broken: int) -> DataFrame:
+    """Pages (page_id, url) as word-processor files of a folder: folder, name, content; of ``broken`` pages one is no zip file."""
+    from xml.sax.saxutils import escape
+
+    def parts(row: tuple) -> dict[str, str]:
+        page, url = row
+        return {"word/document.xml": f'<w:document xmlns:w="{_OFFICE}wordprocessingml/2006/main"><w:body><w:p><w:r><w:t>{escape(url or "")} is page {page}</w:t></w:r></w:p></w:body></w:document>'}
+
+    made = pages.mapInArrow(_zipped(parts, lambda row: False), "doc_id string, content binary")
+    content = F.when(F.col("doc_id").cast("long") % broken == 0, F.lit("not a zip file").cast("binary")).otherwise(F.col("content"))
+    return made.select(F.lit(folder).alias("folder"), F.concat("doc_id", F.lit(".docx")).alias("name"), content.alias("content"))
+
+
 @query
-def inbox_replay(spark, sf_dir):
-    """Pages as word-processor files, every tenth broken, dropped in a folder that the stream works off."""
+def inbox_once(spark, sf_dir):
+    """The stream works the folder off twice, files having come in between, some in a folder below: how often each was taken."""
     from leafmill.streaming import inbox
 
     root = f"{scratch.folder(spark)}/inbox-{uuid.uuid4().hex}"
+    pages = a.table(spark, sf_dir, "pages").select("page_id", "url")
+    for part, folder in ((0, "in"), (1, "in"), (2, "in/below")):
+        sinks.write_files(_as_files(pages.where(F.col("page_id") % 3 == part), folder, 7), root).count()
+        inbox.watch(spark, f"{root}/in", f"{root}/out", once=True).awaitTermination()
+    return inbox.ledger(spark, f"{root}/out").groupBy("file").agg(F.count("*").alias("taken"), F.max("outcome").alias("outcome"))
 
-    def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-        import zipfile
-        from xml.sax.saxutils import escape
 
-        name = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
-        for batch in batches:
-            files = []
-            for page, url in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with zipfile.ZipFile(out := io.BytesIO(), "w") as z:
-                    z.writestr("word/document.xml", f'<w:document xmlns:w="{name}"><w:body><w:p><w:r><w:t>{escape(url or "")} is page {page}</w:t></w:r></w:p></w:body></w:document>')
-                files.append(out.getvalue() if page % 10 else b"not a zip file")
-            names = pa.array([f"{p}.docx" for p in batch.column(0).to_pylist()])
-            yield pa.RecordBatch.from_arrays([pa.array(["in"] * len(files)), names, pa.array(files, pa.binary())], ["folder", "name", "content"])
+@query
+def files_below(spark, sf_dir):
+    """Pages' files in two folders, listed from the folder above both: name, kind and folder."""
+    root = f"{scratch.folder(spark)}/files-{uuid.uuid4().hex}"
+    folder = F.concat(F.lit("out/"), (F.col("page_id") % 2).cast("string"))
+    kind = F.when(F.col("page_id") % 3 == 0, ".PNG").otherwise(".md")
+    rows = a.table(spark, sf_dir, "pages").select(folder.alias("folder"), F.concat(F.col("page_id").cast("string"), kind).alias("name"), F.col("html").cast("binary").alias("content"))
+    sinks.write_files(rows, root).count()
+    return office.files(spark, f"{root}/out", recursive=True).select("stem", "ext", "length", F.regexp_extract("path", "/([01])/[^/]*$", 1).alias("folder"))
+
+
+@query
+def markdown_files(spark, sf_dir):
+    """Documents written as .md files and read again."""
+    root = f"{scratch.folder(spark)}/md-{uuid.uuid4().hex}"
+    sinks.write_markdown_files(a.document_markdown(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string")), root).count()
+    return office.files(spark, root).select("stem", F.col("content").cast("string").alias("md"))
+
+
+@query
+def block_list_files(spark, sf_dir):
+    """Blocks of documents written as JSON lists and read again."""
+    path = f"{scratch.folder(spark)}/blocks-{uuid.uuid4().hex}"
+    sinks.write_block_lists(a.document_blocks(spark, sf_dir).withColumn("bbox", F.array(F.lit(0.0))), path)
+    return anchor.from_json(spark.read.parquet(path)).select("doc_id", "seq", "text", "page_idx")
 
+
+@query
+def inbox_replay(spark, sf_dir):
+    """Pages as word-processor files, every tenth broken, dropped in a folder that the stream works off."""
+    from leafmill.streaming import inbox
+
+    root = f"{scratch.folder(spark)}/inbox-{uuid.uuid4().hex}"
     pages = a.table(spark, sf_dir, "pages").select("page_id", "url")
-    sinks.write_files(pages.mapInArrow(zipped, "folder string, name string, content binary"), root).count()
+    sinks.write_files(_as_files(pages, "in", 10), root).count()
     inbox.watch(spark, f"{root}/in", f"{root}/out", once=True).awaitTermination()
     return inbox.ledger(spark, f"{root}/out").select("file", "outcome")

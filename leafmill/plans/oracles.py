@@ -229,6 +229,10 @@ def _sql() -> dict[str, str]:
     SELECT CAST(k AS VARCHAR) AS doc_id, CAST(1 AS INT) AS row, col, value FROM c UNION ALL SELECT CAST(c_custkey AS VARCHAR), 0, 0, 'error' FROM customer WHERE c_custkey % 10 = 0"""
     o["docx_items"] = r"""SELECT CAST(page_id AS VARCHAR) AS doc_id, CAST(s AS INT) AS seq, CASE s WHEN 0 THEN '# Page' WHEN 1 THEN url ELSE '| page | a\|b |' || chr(10) || '|---|---|' || chr(10) || '| ' || page_id || ' |  |' END AS md
     FROM pages, range(3) r(s) WHERE page_id % 10 <> 0 UNION ALL SELECT CAST(page_id AS VARCHAR), -1, 'error' FROM pages WHERE page_id % 10 = 0"""
+    o["inbox_once"] = "SELECT page_id || '.docx' AS file, count(*) AS taken, max(CASE WHEN page_id % 7 = 0 THEN 'failed' ELSE 'processed' END) AS outcome FROM pages WHERE page_id % 3 <> 2 GROUP BY page_id"
+    o["files_below"] = "SELECT CAST(page_id AS VARCHAR) AS stem, CASE WHEN page_id % 3 = 0 THEN 'png' ELSE 'md' END AS ext, strlen(html) AS length, CAST(page_id % 2 AS VARCHAR) AS folder FROM pages"
+    o["markdown_files"] = "SELECT CAST(doc_id AS VARCHAR) AS stem, text AS md FROM documents"
+    o["block_list_files"] = o["json_blocks"]
     o["inbox_replay"] = "SELECT page_id || '.docx' AS file, CASE WHEN page_id % 10 = 0 THEN 'failed' ELSE 'processed' END AS outcome FROM pages"
     return o
 
