@@ -38,15 +38,16 @@ def dictionary_tokens(counts: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def twins(counts: DataFrame, words: DataFrame) -> DataFrame:
-    """doc_id, rare_token, dict_token, first: pairs of equal length and at most two edits apart.
+    """doc_id, rare_token, dict_token, first, dict_first: pairs of equal length and at most two edits apart.
 
     An equality join on document and length; what meets is one document's
-    repeated words of that length.
+    repeated words of that length. Both sides have the same columns of the
+    counts, so that these are made and shuffled once.
     """
     rare = rare_tokens(counts, words).select("doc_id", F.col("token").alias("rare_token"), "first", F.length("token").alias("size"))
-    dictish = dictionary_tokens(counts, words).select("doc_id", F.col("token").alias("dict_token"), F.length("token").alias("size"))
+    dictish = dictionary_tokens(counts, words).select("doc_id", F.col("token").alias("dict_token"), F.col("first").alias("dict_first"), F.length("token").alias("size"))
     near = F.levenshtein(F.lower("rare_token"), F.lower("dict_token"), DISTANCE).between(0, DISTANCE)
-    return rare.join(dictish, ["doc_id", "size"]).where(near).select("doc_id", "rare_token", "dict_token", "first")
+    return rare.join(dictish, ["doc_id", "size"]).where(near).select("doc_id", "rare_token", "dict_token", "first", "dict_first")
 
 
 def confirmed(primary: DataFrame, reference: DataFrame, words: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def confirmed(primary: DataFrame, reference: DataFrame, words: DataFrame) -> Dat
     pairs = twins(token_counts(primary), words)
     pairs = pairs.join(seen.withColumnRenamed("token", "rare_token"), ["doc_id", "rare_token"], "left_semi")
     pairs = pairs.join(seen.withColumnRenamed("token", "dict_token"), ["doc_id", "dict_token"], "left_anti")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "dict_token").orderBy("first", "rare_token"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "dict_token").orderBy("first", "rare_token", "dict_first"))  # the last is one value, there for the reuse of the counts
     return pairs.withColumn("nth", nth).where("nth = 1").select("doc_id", "dict_token", "rare_token")
 
 
