@@ -50,22 +50,50 @@ def test_quality_counts(docs, rows, none):
     assert quality_rules.keep_good(docs).columns == docs.columns and len(kept) > 20
 
 
-def test_quality_em_matches_plain_loop(spark):
-    votes = ["gggggggg"] * 50 + ["bgg-gbgg"] * 7 + ["bbb-b--g"] * 9 + ["--------"] * 3
-    m = quality_rules.fit(spark.createDataFrame([(v,) for v in votes], "votes string"))
+def plain_em(votes):
     prior, good, bad = 0.8, [0.9] * 8, [0.7] * 8
     for _ in range(quality_rules.ITERATIONS):
-        post = []
-        for v in votes:
-            odds = np.log(prior / (1 - prior))
-            for j, c in enumerate(v):
-                odds += {"g": np.log(good[j] / (1 - bad[j])), "b": np.log((1 - good[j]) / bad[j]), "-": 0}[c]
-            post.append(1 / (1 + np.exp(-odds)))
+        post = [plain_posterior(v, prior, good, bad) for v in votes]
         prior = np.clip((1 + sum(post)) / (2 + len(votes)), 0.01, 0.99)
         for j in range(8):
             voted = [(p, v[j]) for p, v in zip(post, votes) if v[j] != "-"]
             good[j] = np.clip((9 + sum(p for p, c in voted if c == "g")) / (10 + sum(p for p, _ in voted)), *quality_rules.GOOD)
             bad[j] = np.clip((7 + sum(1 - p for p, c in voted if c == "b")) / (10 + sum(1 - p for p, _ in voted)), *quality_rules.BAD)
+    return prior, good, bad
+
+
+def plain_posterior(v, prior, good, bad):
+    odds = np.log(prior / (1 - prior))
+    for j, c in enumerate(v):
+        odds += {"g": np.log(good[j] / (1 - bad[j])), "b": np.log((1 - good[j]) / bad[j]), "-": 0}[c]
+    return 1 / (1 + np.exp(-odds))
+
+
+def plain_votes(text):
+    text = text or ""
+    n, chars, symbols, dup, repeat = base_counts(text)
+    lines, capitals, marks = sum(bool(WORD.search(x)) for x in text.split("\n")), sum("A" <= c <= "Z" for c in text), sum(c in ".!?" for c in text)
+    pairs = [
+        (20 * symbols > chars, 100 * symbols <= chars), (4 * symbols > n, 50 * symbols <= n), (chars < 2 * n or chars > 14 * n, 0 < 3 * n <= chars <= 10 * n),
+        (10 * dup > 3 * lines, dup == 0 and lines > 1), (10 * repeat > 3 * n, 10 * repeat < n and n > 2), (10 * capitals > 4 * chars, 100 * capitals < 15 * chars and n > 0),
+        (n < 20, n >= 50), ((marks == 0 and n > 30) or 2 * marks > n, n > 0 and n <= 100 * marks and 3 * marks <= n),
+    ]
+    return "".join("b" if bad else "g" if good else "-" for bad, good in pairs)
+
+
+def test_quality_votes_and_posteriors_are_brute_force(docs, rows):
+    got = by_id(quality_rules.assess(docs))
+    votes = {i: plain_votes(t) for i, t in rows}
+    model = plain_em([v for i, v in votes.items() if not got[i]["base_failed"]])
+    for i, v in votes.items():
+        assert got[i]["votes"] == v and np.isclose(got[i]["quality"], plain_posterior(v, *model))
+        assert got[i]["kept"] == (not got[i]["base_failed"] and plain_posterior(v, *model) >= 0.5)
+
+
+def test_quality_em_matches_plain_loop(spark):
+    votes = ["gggggggg"] * 50 + ["bgg-gbgg"] * 7 + ["bbb-b--g"] * 9 + ["--------"] * 3
+    m = quality_rules.fit(spark.createDataFrame([(v,) for v in votes], "votes string"))
+    prior, good, bad = plain_em(votes)
     assert np.allclose([m.prior, *m.good, *m.bad], [prior, *good, *bad])
 
 
