@@ -82,7 +82,15 @@ def _forget(spark: SparkSession, app: str) -> None:
 
 
 def _folders(tables: tuple[DataFrame, ...]) -> set[str]:
-    return {f.split("/")[-2] for df in tables for f in df.inputFiles()}
+    """Names of the folders that tables are read from; their files, which may be very many, aren't listed."""
+    found = set()
+    for df in tables:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        for k in range(leaves.size()):
+            leaf = leaves.apply(k)
+            if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+                found |= {p.rstrip("/").rpartition("/")[2] for p in leaf.relation().location().rootPaths().mkString("\n").split("\n")}
+    return found
 
 
 def sweep(spark: SparkSession, *needed: DataFrame) -> None:
