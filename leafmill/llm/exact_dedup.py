@@ -10,6 +10,7 @@ execution splits the partition of a very large group.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,20 +79,27 @@ class DigestIndex:
 def _decided(marks: DataFrame, index: DigestIndex, batches: int) -> DataFrame:
     """digest, keep_id, group_size and row (that stays, null if none does) of each digest of ``marks`` (digest, doc_id, row).
 
-    ``marks`` goes into the index in ``batches`` ranges of ids, smallest first,
-    rows without an id last. A partial minimum is taken by every task, so a
-    group of copies is a row a task, whatever its size.
+    ``marks`` comes in ``batches`` ranges of ids, smallest first, rows without
+    an id last. Each batch is reduced to its digests, which meet those that the
+    index knows, of earlier batches too. A partial minimum is taken by every
+    task, so a group of copies is a row a task, whatever its size.
     """
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "row")).alias("first")
-    firsts = materialise(marks.groupBy("digest").agg(first, F.count("*").alias("group_size")))
-    ends = firsts.agg(F.min("first.doc_id"), F.max("first.doc_id")).first()
+    row = F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "row")
+    ends = marks.agg(F.min("doc_id"), F.max("doc_id")).first()
     low, high = (ends[0] or 0), (ends[1] or 0)
-    part = F.floor((F.col("first.doc_id").cast("double") - float(low)) / float((high - low) // batches + 1))
+    part = F.floor((F.col("doc_id").cast("double") - float(low)) / float((high - low) // batches + 1))
     part = F.coalesce(F.least(part, F.lit(batches - 1)), F.lit(batches - 1))
+    firsts = []
     for k in range(batches):
-        index.add(firsts.where(part == k).select("digest", F.col("first.doc_id").alias("keep_id")))
+        batch = marks.where(part == k) if batches > 1 else marks
+        firsts.append(materialise(batch.groupBy("digest").agg(F.min(row).alias("first"), F.count("*").alias("group_size"))))
+        index.add(firsts[-1].select("digest", F.col("first.doc_id").alias("keep_id")))
+    whole = firsts[0]
+    if batches > 1:
+        every = functools.reduce(DataFrame.unionByName, firsts)
+        whole = materialise(every.groupBy("digest").agg(F.min("first").alias("first"), F.sum("group_size").alias("group_size")))
     stays = F.when(F.col("first.doc_id").eqNullSafe(F.col("keep_id")), F.col("first.row"))
-    return materialise(firsts.join(index.plain(), "digest").select("digest", "keep_id", "group_size", stays.alias("row")))
+    return materialise(whole.join(index.plain(), "digest").select("digest", "keep_id", "group_size", stays.alias("row")))
 
 
 def groups(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFrame:

@@ -57,6 +57,7 @@ def test_a_row_for_every_row(spark, odd):
 def test_one_row_of_each_group_stays(spark, odd, batches):
     index = exact_dedup.new_index(spark)
     got = exact_dedup.groups(odd, index, batches)
+    assert index.rows().count() == index.rows().select("digest").distinct().count() == got.select("text_sha256").distinct().count()
     index.drop()
     rows = got.collect()
     kept = Counter(r["text_sha256"] for r in rows if r["kept"])
