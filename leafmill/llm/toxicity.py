@@ -194,35 +194,61 @@ def _train(seen: list, names: list[str], pure: set[str], steps: int = 150) -> tu
     theta[k] = -3.0
     if not stretches:
         return {}, -3.0, np.zeros((2, 2))
-    width = max(map(len, stretches))
     n = len(stretches)
-    label, mask = np.zeros((n, width), int), np.zeros((n, width), bool)
-    rows, cols, feats = [], [], []
-    for i, s in enumerate(stretches):
-        for j, (f, y) in enumerate(s):
-            label[i, j], mask[i, j] = y, True
-            rows += [i] * len(f)
-            cols += [j] * len(f)
-            feats += f
-    place, feats = np.array(rows, int) * width + np.array(cols, int), np.array(feats, int)
+    groups = [_padded(own) for own in _by_width(stretches)]
+    real = sum(g.moves for g in groups)
     m = v = np.zeros_like(theta)
     for step in range(1, steps + 1):
-        emission = np.bincount(place, theta[feats], n * width).reshape(n, width) + theta[k]
         moves = theta[k + 1 :].reshape(2, 2)
-        p1, pair = _expect(emission, moves, mask)
-        off = np.where(mask, label - p1, 0.0)
         gradient = np.zeros_like(theta)
-        gradient[:k] = np.bincount(feats, off.ravel()[place], k)
-        gradient[k] = off.sum()
-        both = mask[:, 1:]
-        real = np.array([[((label[:, :-1] == a) & (label[:, 1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)])
-        gradient[k + 1 :] = (real - pair).ravel()
+        expected = np.zeros((2, 2))
+        for g in groups:
+            emission = np.bincount(g.place, theta[g.features], g.mask.size).reshape(g.mask.shape) + theta[k]
+            p1, pair = _expect(emission, moves, g.mask)
+            off = np.where(g.mask, g.label - p1, 0.0)
+            gradient[:k] += np.bincount(g.features, off.ravel()[g.place], k)
+            gradient[k] += off.sum()
+            expected += pair
+        gradient[k + 1 :] = (real - expected).ravel()
         gradient = gradient / n - 1e-3 * theta / np.sqrt(n)
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta = theta + 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return dict(zip(names, theta[:k].tolist(), strict=True)), float(theta[k]), theta[k + 1 :].reshape(2, 2)
 
 
+@dataclass(frozen=True)
+class _Padded:
+    """Stretches of similar length: labels and which places are real, the places of all features, and the labels' moves."""
+
+    label: np.ndarray
+    mask: np.ndarray
+    place: np.ndarray
+    features: np.ndarray
+    moves: np.ndarray
+
+
+def _by_width(stretches: list) -> list[list]:
+    """Stretches whose lengths have one next power of two, so that little is padded."""
+    groups: dict[int, list] = {}
+    for s in stretches:
+        groups.setdefault((len(s) - 1).bit_length(), []).append(s)
+    return [groups[k] for k in sorted(groups)]
+
+
+def _padded(stretches: list) -> _Padded:
+    n, width = len(stretches), max(map(len, stretches))
+    label, mask = np.zeros((n, width), int), np.zeros((n, width), bool)
+    places, features = [], []
+    for i, s in enumerate(stretches):
+        for j, (f, y) in enumerate(s):
+            label[i, j], mask[i, j] = y, True
+            places += [i * width + j] * len(f)
+            features += f
+    both = mask[:, 1:]
+    moves = np.array([[((label[:, :-1] == a) & (label[:, 1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)])
+    return _Padded(label, mask, np.array(places, int), np.array(features, int), moves)
+
+
 def _expect(emission: np.ndarray, moves: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of state 1 and expected moves of padded stretches, by scaled forward-backward."""
     n, width = emission.shape
