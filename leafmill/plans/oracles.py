@@ -145,11 +145,12 @@ def _sql() -> dict[str, str]:
     ba AS (SELECT *, list_transform(words, lambda x: coalesce(nullif(upper(regexp_replace(x, '[^A-Za-z]', '', 'g')), ''), '|')) AS bare FROM w),
     dw AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word, unnest(bare) AS bare FROM ba),
     en AS (SELECT *, sum(length(bare)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM dw),
-    le AS (SELECT doc_id, array_to_string(bare, '') AS letters, words FROM ba),
     ru AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_extract_all(text, '[\pL\pM\pN\p{{Pc}}]+'), lambda x: regexp_full_match(x, '[A-Z]{{8,}}'))) AS run FROM documents),
-    ft AS (SELECT doc_id, run, a.i AS i, b.i AS j FROM ru JOIN le USING (doc_id) JOIN en a USING (doc_id) JOIN en b USING (doc_id)
-      WHERE a.bare <> '|' AND b.bare <> '|' AND b.stop = a.stop - length(a.bare) + length(run) AND substr(letters, CAST(a.stop - length(a.bare) + 1 AS BIGINT), length(run)) = run
-      QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY a.i) = 1),
+    st AS (SELECT doc_id, list(CAST(stop - length(bare) + 1 AS BIGINT) ORDER BY i) AS starts FROM en WHERE doc_id IN (SELECT doc_id FROM ru) GROUP BY doc_id),
+    le AS (SELECT doc_id, array_to_string(bare, '') AS letters, bare, words, starts FROM ba JOIN st USING (doc_id)),
+    hs AS (SELECT doc_id, run, unnest(list_filter(range(1, len(words) + 1), lambda i: bare[i] <> '|' AND substr(letters, starts[i], length(run)) = run)) AS i FROM ru JOIN le USING (doc_id)),
+    ft AS (SELECT hs.doc_id, run, hs.i AS i, b.i AS j FROM hs JOIN en a ON a.doc_id = hs.doc_id AND a.i = hs.i JOIN en b ON b.doc_id = hs.doc_id AND b.stop = a.stop - length(a.bare) + length(run) WHERE b.bare <> '|'
+      QUALIFY row_number() OVER (PARTITION BY hs.doc_id, run ORDER BY hs.i) = 1),
     mp AS (SELECT doc_id, map(list(run), list(array_to_string(words[i:j], ' '))) AS m FROM ft JOIN le USING (doc_id) GROUP BY doc_id)
     SELECT doc_id, CASE WHEN m IS NULL THEN text ELSE array_to_string(list_transform({words}, lambda t: coalesce(m[t], t)), '') END AS text FROM documents LEFT JOIN mp USING (doc_id)"""
     o["format_cells"] = f"WITH {_CELLS} SELECT doc_id, sheet_ix, row, col, value FROM ce"
