@@ -430,6 +430,11 @@ def split_headings(spark, sf_dir):
     return validate.split_headings(joined).select("doc_id", "line_no", "part", "level", "text")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Small rows that make long work, over all cores, however few files they come from."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _zipped(parts: Callable[[tuple], dict[str, str]], broken: Callable[[tuple], bool]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows of columns (doc_id, ...) as zipped files of the parts that ``parts`` makes; a broken file's packed bytes are overwritten."""
 
@@ -475,7 +480,7 @@ def xlsx_cells(spark, sf_dir):
         }
 
     customers = a.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    cells, _, errors = office.read_workbooks(customers.mapInArrow(_zipped(parts, lambda row: row[0] % 10 == 0), "doc_id string, content binary"))
+    cells, _, errors = office.read_workbooks(_dealt(customers).mapInArrow(_zipped(parts, lambda row: row[0] % 10 == 0), "doc_id string, content binary"))
     failed = errors.select("doc_id", F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit("error").alias("value"))
     return sheet.displayed(cells).select("doc_id", "row", "col", "value").unionByName(failed)
 
@@ -492,7 +497,7 @@ def docx_items(spark, sf_dir):
         return {"word/document.xml": f'<w:document xmlns:w="{_OFFICE}wordprocessingml/2006/main"><w:body>{p("Page", "<w:pPr><w:pStyle w:val=%sTitle%s/></w:pPr>" % (chr(34), chr(34)))}{p(url or "")}{table}</w:body></w:document>'}
 
     pages = a.table(spark, sf_dir, "pages").select("page_id", "url")
-    items, _, errors = office.read_documents(pages.mapInArrow(_zipped(parts, lambda row: row[0] % 10 == 0), "doc_id string, content binary"))
+    items, _, errors = office.read_documents(_dealt(pages).mapInArrow(_zipped(parts, lambda row: row[0] % 10 == 0), "doc_id string, content binary"))
     failed = errors.select("doc_id", F.lit(-1).alias("seq"), F.lit("error").alias("md"))
     return wordproc.item_markdown(items).select("doc_id", "seq", "md").unionByName(failed)
 
@@ -505,7 +510,7 @@ def _as_files(pages: DataFrame, folder: str, broken: int) -> DataFrame:
         page, url = row
         return {"word/document.xml": f'<w:document xmlns:w="{_OFFICE}wordprocessingml/2006/main"><w:body><w:p><w:r><w:t>{escape(url or "")} is page {page}</w:t></w:r></w:p></w:body></w:document>'}
 
-    made = pages.mapInArrow(_zipped(parts, lambda row: False), "doc_id string, content binary")
+    made = _dealt(pages).mapInArrow(_zipped(parts, lambda row: False), "doc_id string, content binary")
     content = F.when(F.col("doc_id").cast("long") % broken == 0, F.lit("not a zip file").cast("binary")).otherwise(F.col("content"))
     return made.select(F.lit(folder).alias("folder"), F.concat("doc_id", F.lit(".docx")).alias("name"), content.alias("content"))
 
