@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from test_operators import docx, values
+import io
+import zipfile
 
+import pytest
+from test_operators import docx, values, xlsx
+
+from leafmill.plans import catalogue
+from leafmill.sources import office, sinks
 from leafmill.streaming import inbox
 
 
@@ -29,3 +35,51 @@ def test_executors_move_files_with_their_checksums(spark, tmp_path):
         inbox.move_all(rows, str(tmp_path / "in"))
     left = sorted((str(p.relative_to(tmp_path / "in")), p.read_text()) for p in (tmp_path / "in").rglob("*") if p.is_file())
     assert left == [("done/.a.crc", "new"), ("done/a", "new"), ("done/b", "new")]
+
+
+def test_workbooks_come_back_together_and_from_all_cores(spark, monkeypatch):
+    seen = {}
+    read = office.read_workbooks
+    monkeypatch.setattr(office, "read_workbooks", lambda binary: seen.update(parts=binary.rdd.getNumPartitions()) or read(binary))
+    catalogue.queries()["xlsx_cells"](spark, "/root/testdata/sf0.001")
+    assert seen["parts"] >= spark.sparkContext.defaultParallelism
+    far = xlsx().replace(b'"AA3"', b'"A%d"' % 10**10)  # stored, so the part's checksum fails too; a row beyond 32 bits is the table's failure
+    with zipfile.ZipFile(io.BytesIO(xlsx())) as z, zipfile.ZipFile(out := io.BytesIO(), "w") as made:
+        for name in z.namelist():
+            made.writestr(name, z.read(name).replace(b'"AA3"', b'"A%d"' % 10**10))
+    rows = [("a", bytearray(xlsx())), ("b", bytearray(out.getvalue())), ("c", bytearray(xlsx())), ("d", bytearray(far))]
+    cells, _, errors = read(spark.createDataFrame(rows, "doc_id string, content binary").coalesce(1))
+    assert values(cells.groupBy("doc_id").count(), "doc_id", "count") == [("a", 6), ("c", 6)]
+    assert values(errors, "doc_id") == [("b",), ("d",)]
+
+
+def test_cells_of_html_come_back_in_parts(spark, monkeypatch):
+    import pyarrow as pa
+
+    from leafmill.operators import validate
+
+    kept = {}
+
+    class Frame:
+        schema = spark.createDataFrame([], "doc_id string, seq int").schema
+
+        def __getattr__(self, name):
+            return lambda *a: self
+
+        def mapInArrow(self, each, schema):
+            kept["each"] = each
+
+    validate.html_tables(Frame())
+    page = "<table><tr><td>" + "x" * 400_000 + "<td>y</table>"
+    batch = pa.RecordBatch.from_pydict({"doc_id": [str(k) for k in range(10)], "seq": pa.array([0] * 10, pa.int32()), "html": [page] * 9 + ["none"]})
+    parts = list(kept["each"]([batch]))
+    assert [p.num_rows for p in parts] == [6, 6, 6]
+    assert [x for p in parts for x in p.column(0).to_pylist()] == [str(k) for k in range(9) for _ in range(2)]
+
+
+def test_a_write_that_fails_leaves_nothing_to_read(spark, tmp_path):
+    (tmp_path / "b.md").mkdir()
+    rows = spark.createDataFrame([("", "a.md", bytearray(b"a")), ("", "b.md", bytearray(b"b"))], "folder string, name string, content binary").coalesce(1)
+    with pytest.raises(Exception):  # noqa: B017
+        sinks.write_files(rows, str(tmp_path)).count()
+    assert values(office.files(spark, str(tmp_path)), "stem") == [("a",)]
