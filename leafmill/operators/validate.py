@@ -15,6 +15,8 @@ from leafmill.functions.text import strip
 
 #: Largest spans of a cell in HTML (fixed values of the format).
 MOST_ROWS, MOST_COLUMNS = 65_534, 1_000
+#: Cells go back to Spark as soon as the texts read hold so many characters, so what a worker holds doesn't grow with a batch.
+TOGETHER = 1_000_000
 
 
 def refoot(items: DataFrame, totals: DataFrame, keys: list[str], tolerance: float = 0.005) -> DataFrame:
@@ -177,11 +179,23 @@ def html_tables(blocks: DataFrame, column: str = "table_body") -> DataFrame:
     schema = StructType([wanted.schema["doc_id"], wanted.schema["seq"], *(StructField(n, IntegerType()) for n in numbers), StructField("text", StringType())])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [html_cells(t) for t in batch.column("html").to_pylist()]
-            at = pa.array([k for k, cells in enumerate(found) for _ in cells], pa.int64())
-            columns = list(zip(*(c for cells in found for c in cells), strict=True)) or [()] * 6
+        def rows(batch: pa.RecordBatch, at: list[int], cells: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*cells, strict=True)) or [()] * 6
             arrays = [pa.array(v, t) for v, t in zip(columns, [*[pa.int32()] * 5, pa.string()], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("seq").take(at), *arrays], ["doc_id", "seq", *numbers, "text"])
+            places = pa.array(at, pa.int64())
+            return pa.RecordBatch.from_arrays([batch.column("doc_id").take(places), batch.column("seq").take(places), *arrays], ["doc_id", "seq", *numbers, "text"])
+
+        for batch in batches:
+            at, cells, held = [], [], 0
+            for k, text in enumerate(batch.column("html")):
+                found = html_cells(text := text.as_py())
+                at += [k] * len(found)
+                cells += found
+                held += len(text)
+                if held >= TOGETHER:
+                    yield rows(batch, at, cells)
+                    at, cells, held = [], [], 0
+            if at:
+                yield rows(batch, at, cells)
 
     return wanted.mapInArrow(each, schema)
