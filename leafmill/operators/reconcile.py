@@ -22,9 +22,21 @@ def wordlist(spark, path: str) -> DataFrame:
 
 
 def token_counts(md: DataFrame) -> DataFrame:
-    """doc_id, token, n and first (the ordinal of its first occurrence); partial counts are made before the shuffle."""
-    tokens = md.select("doc_id", F.posexplode(F.regexp_extract_all("md", F.lit(TOKEN), 0)).alias("at", "token"))
-    return tokens.groupBy("doc_id", "token").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    """doc_id, token, n and first (the ordinal of its first occurrence).
+
+    A text's tokens are sorted and counted in its own row, so nothing is
+    shuffled and no task holds more than a text. Only where several rows have
+    one doc_id, which is looked up first, their counts are added up.
+    """
+    tokens = md.select("doc_id", F.sort_array(F.transform(F.regexp_extract_all("md", F.lit(TOKEN), 0), lambda t, k: F.struct(t.alias("token"), k.alias("at")))).alias("s"))
+    new = lambda k: (k == 0) | (F.get("s", k)["token"] != F.get("s", k - 1)["token"])
+    begins = tokens.where(F.size("s") > 0).withColumn("b", F.filter(F.sequence(F.lit(0), F.size("s") - 1), new))
+    n = lambda b, k: (F.coalesce(F.get("b", k + 1), F.size("s")) - b).cast("long")
+    row = F.transform("b", lambda b, k: F.struct(F.get("s", b)["token"].alias("token"), n(b, k).alias("n"), F.get("s", b)["at"].alias("first")))
+    counts = begins.select("doc_id", F.inline(row))
+    if md.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return counts
+    return counts.groupBy("doc_id", "token").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
 
 
 def rare_tokens(counts: DataFrame, words: DataFrame) -> DataFrame:
@@ -40,24 +52,34 @@ def dictionary_tokens(counts: DataFrame, words: DataFrame) -> DataFrame:
 def twins(counts: DataFrame, words: DataFrame) -> DataFrame:
     """doc_id, rare_token, dict_token, first, dict_first: pairs of equal length and at most two edits apart.
 
-    An equality join on document and length; what meets is one document's
-    repeated words of that length. Both sides have the same columns of the
-    counts, so that these are made and shuffled once.
+    Repeated tokens alone are dealt by document and length, once, and meet
+    those of their own group.
     """
-    rare = rare_tokens(counts, words).select("doc_id", F.col("token").alias("rare_token"), "first", F.length("token").alias("size"))
-    dictish = dictionary_tokens(counts, words).select("doc_id", F.col("token").alias("dict_token"), F.col("first").alias("dict_first"), F.length("token").alias("size"))
-    near = F.levenshtein(F.lower("rare_token"), F.lower("dict_token"), DISTANCE).between(0, DISTANCE)
-    return rare.join(dictish, ["doc_id", "size"]).where(near).select("doc_id", "rare_token", "dict_token", "first", "dict_first")
+    known = words.select(F.col("word").alias("_word")).distinct()
+    tokens = counts.where((F.col("n") >= REPEATED) & F.col("doc_id").isNotNull()).join(known, F.lower("token") == F.col("_word"), "left")
+    token, rare = F.struct("token", "first"), F.col("_word").isNull()
+    groups = tokens.groupBy("doc_id", F.length("token").alias("size")).agg(F.collect_list(F.when(rare, token)).alias("rare"), F.collect_list(F.when(~rare, token)).alias("dict"))
+    pairs = groups.where((F.size("rare") > 0) & (F.size("dict") > 0)).select("doc_id", F.explode("rare").alias("r"), "dict").select("doc_id", "r", F.explode("dict").alias("d"))
+    near = F.levenshtein(F.lower("r.token"), F.lower("d.token"), DISTANCE).between(0, DISTANCE)
+    found = pairs.where(near)
+    return found.select("doc_id", F.col("r.token").alias("rare_token"), F.col("d.token").alias("dict_token"), F.col("r.first").alias("first"), F.col("d.first").alias("dict_first"))
+
+
+def _confirmed(primary: DataFrame, reference: DataFrame, words: DataFrame) -> DataFrame:
+    """:func:`confirmed` with n_reference, how often the reference pass has the rare spelling."""
+    pairs = twins(token_counts(primary), words).groupBy("doc_id").agg(F.collect_list(F.struct("first", "rare_token", "dict_token")).alias("pairs"))
+    tokens = reference.select("doc_id", F.regexp_extract_all("md", F.lit(TOKEN), 0).alias("tokens"))
+    times = lambda token: F.size(F.filter("tokens", lambda t: t == token)).cast("long")
+    looked = F.transform("pairs", lambda p: F.struct(p["first"].alias("first"), p["rare_token"].alias("rare_token"), p["dict_token"].alias("dict_token"), times(p["rare_token"]).alias("n"), times(p["dict_token"]).alias("n_dict")))
+    both = pairs.join(tokens.where("tokens IS NOT NULL"), "doc_id").select("doc_id", F.inline(looked))
+    seen = both.groupBy("doc_id", "rare_token", "dict_token", "first").agg(F.sum("n").alias("n_reference"), F.sum("n_dict").alias("n_dict"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "dict_token").orderBy("first", "rare_token"))
+    return seen.where("n_reference > 0 AND n_dict = 0").withColumn("nth", nth).where("nth = 1").select("doc_id", "dict_token", "rare_token", "n_reference")
 
 
 def confirmed(primary: DataFrame, reference: DataFrame, words: DataFrame) -> DataFrame:
     """doc_id, dict_token, rare_token of the corrections; of several rare twins the one that occurs first wins."""
-    seen = token_counts(reference).select("doc_id", "token")
-    pairs = twins(token_counts(primary), words)
-    pairs = pairs.join(seen.withColumnRenamed("token", "rare_token"), ["doc_id", "rare_token"], "left_semi")
-    pairs = pairs.join(seen.withColumnRenamed("token", "dict_token"), ["doc_id", "dict_token"], "left_anti")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "dict_token").orderBy("first", "rare_token", "dict_first"))  # the last is one value, there for the reuse of the counts
-    return pairs.withColumn("nth", nth).where("nth = 1").select("doc_id", "dict_token", "rare_token")
+    return _confirmed(primary, reference, words).drop("n_reference")
 
 
 def _whole_word(token: Column) -> Column:
@@ -70,9 +92,7 @@ def change_log(primary: DataFrame, reference: DataFrame, words: DataFrame) -> Da
     ``n_replaced`` counts the whole words that give way, ``n_reference`` how
     often the reference pass has the rare spelling.
     """
-    seen = token_counts(reference).select("doc_id", F.col("token").alias("rare_token"), F.col("n").alias("n_reference"))
-    pairs = confirmed(primary, reference, words).join(seen, ["doc_id", "rare_token"])
-    counted = pairs.join(primary.select("doc_id", "md"), "doc_id")
+    counted = _confirmed(primary, reference, words).join(primary.select("doc_id", "md"), "doc_id")
     n = F.regexp_count("md", _whole_word(F.col("dict_token")))
     return counted.select("doc_id", "dict_token", "rare_token", n.alias("n_replaced"), "n_reference").where("n_replaced > 0")
 

@@ -8,6 +8,7 @@ import zipfile
 import pytest
 from test_operators import docx, values, xlsx
 
+from leafmill.operators import reconcile
 from leafmill.plans import catalogue
 from leafmill.sources import office, sinks
 from leafmill.streaming import inbox
@@ -83,3 +84,11 @@ def test_a_write_that_fails_leaves_nothing_to_read(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017
         sinks.write_files(rows, str(tmp_path)).count()
     assert values(office.files(spark, str(tmp_path)), "stem") == [("a",)]
+
+
+def test_tokens_are_counted_in_their_own_row(spark):
+    plan = catalogue.queries()["rare_tokens"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" not in plan
+    md = spark.createDataFrame([(1, "words Words words other"), (1, "Words"), (2, "other"), (3, None), (4, "")], "doc_id long, md string")
+    assert values(reconcile.token_counts(md), "doc_id", "token", "n", "first") == [(1, "Words", 2, 0), (1, "other", 1, 3), (1, "words", 2, 0), (2, "other", 1, 0)]
+    assert values(reconcile.token_counts(md.where("doc_id > 1")), "doc_id", "token", "n", "first") == [(2, "other", 1, 0)]
