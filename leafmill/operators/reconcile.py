@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from leafmill.functions.text import TOKEN
 
 REPEATED, DISTANCE = 2, 2
+#: A token and its repetitions among sorted ones; possessive, so that Java's stack doesn't grow with them.
+_REPEATS = r"\b([A-Za-z]++)(?: \1\b)++"
 
 
 def wordlist(spark, path: str) -> DataFrame:
@@ -30,15 +32,32 @@ def token_counts(md: DataFrame) -> DataFrame:
     """
     tokens = md.select("doc_id", F.sort_array(F.transform(F.regexp_extract_all("md", F.lit(TOKEN), 0), lambda t, k: F.struct(t.alias("token"), k.alias("at")))).alias("s"))
     new = lambda k: (k == 0) | (F.get("s", k)["token"] != F.get("s", k - 1)["token"])
-    begins = tokens.where(F.size("s") > 0).withColumn("b", F.filter(F.sequence(F.lit(0), F.size("s") - 1), new))
+    begins = tokens.select("doc_id", "s", F.filter(F.transform("s", lambda _, k: k), new).alias("b"))  # no condition on s, which would be made again for it
     n = lambda b, k: (F.coalesce(F.get("b", k + 1), F.size("s")) - b).cast("long")
     row = F.transform("b", lambda b, k: F.struct(F.get("s", b)["token"].alias("token"), n(b, k).alias("n"), F.get("s", b)["at"].alias("first")))
     counts = begins.select("doc_id", F.inline(row))
-    if md.groupBy("doc_id").count().where("count > 1").isEmpty():
+    if _one_row_each(md):
         return counts
     return counts.groupBy("doc_id", "token").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
 
 
+def _one_row_each(md: DataFrame) -> bool:
+    return md.groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
+def _repeats(tokens: str) -> Column:
+    """Tokens that occur twice or more, sorted."""
+    return F.regexp_extract_all(F.array_join(F.sort_array(tokens), " "), F.lit(_REPEATS), 1)
+
+
+def repeated_tokens(md: DataFrame) -> DataFrame:
+    """doc_id, token and first (what is smaller occurs earlier) of the tokens that occur twice or more, without a shuffle where ids are unique."""
+    if not _one_row_each(md):
+        return token_counts(md).where(F.col("n") >= REPEATED).drop("n")
+    tokens = md.select("doc_id", F.regexp_extract_all("md", F.lit(TOKEN), 0).alias("tokens"))
+    return tokens.select("doc_id", F.posexplode(F.array_intersect("tokens", _repeats("tokens"))).alias("first", "token"))
+
+
 def rare_tokens(counts: DataFrame, words: DataFrame) -> DataFrame:
     """Repeated tokens that the wordlist lacks."""
     return counts.where(F.col("n") >= REPEATED).join(words, F.lower("token") == F.col("word"), "left_anti")
@@ -49,14 +68,14 @@ def dictionary_tokens(counts: DataFrame, words: DataFrame) -> DataFrame:
     return counts.where(F.col("n") >= REPEATED).join(words, F.lower("token") == F.col("word"), "left_semi")
 
 
-def twins(counts: DataFrame, words: DataFrame) -> DataFrame:
+def twins(repeated: DataFrame, words: DataFrame) -> DataFrame:
     """doc_id, rare_token, dict_token, first, dict_first: pairs of equal length and at most two edits apart.
 
     Repeated tokens alone are dealt by document and length, once, and meet
     those of their own group.
     """
     known = words.select(F.col("word").alias("_word")).distinct()
-    tokens = counts.where((F.col("n") >= REPEATED) & F.col("doc_id").isNotNull()).join(known, F.lower("token") == F.col("_word"), "left")
+    tokens = repeated.where(F.col("doc_id").isNotNull()).join(known, F.lower("token") == F.col("_word"), "left")
     token, rare = F.struct("token", "first"), F.col("_word").isNull()
     groups = tokens.groupBy("doc_id", F.length("token").alias("size")).agg(F.collect_list(F.when(rare, token)).alias("rare"), F.collect_list(F.when(~rare, token)).alias("dict"))
     pairs = groups.where((F.size("rare") > 0) & (F.size("dict") > 0)).select("doc_id", F.explode("rare").alias("r"), "dict").select("doc_id", "r", F.explode("dict").alias("d"))
@@ -67,14 +86,18 @@ def twins(counts: DataFrame, words: DataFrame) -> DataFrame:
 
 def _confirmed(primary: DataFrame, reference: DataFrame, words: DataFrame) -> DataFrame:
     """:func:`confirmed` with n_reference, how often the reference pass has the rare spelling."""
-    pairs = twins(token_counts(primary), words).groupBy("doc_id").agg(F.collect_list(F.struct("first", "rare_token", "dict_token")).alias("pairs"))
-    tokens = reference.select("doc_id", F.regexp_extract_all("md", F.lit(TOKEN), 0).alias("tokens"))
-    times = lambda token: F.size(F.filter("tokens", lambda t: t == token)).cast("long")
-    looked = F.transform("pairs", lambda p: F.struct(p["first"].alias("first"), p["rare_token"].alias("rare_token"), p["dict_token"].alias("dict_token"), times(p["rare_token"]).alias("n"), times(p["dict_token"]).alias("n_dict")))
-    both = pairs.join(tokens.where("tokens IS NOT NULL"), "doc_id").select("doc_id", F.inline(looked))
-    seen = both.groupBy("doc_id", "rare_token", "dict_token", "first").agg(F.sum("n").alias("n_reference"), F.sum("n_dict").alias("n_dict"))
+    pairs = twins(repeated_tokens(primary), words).groupBy("doc_id").agg(F.collect_list(F.struct("first", "rare_token", "dict_token")).alias("pairs"))
+    met = reference.select("doc_id", "md").join(pairs.hint("shuffle_hash"), "doc_id")  # the pairs are held, texts pass by unsorted
+    tokens = met.select("doc_id", "pairs", F.regexp_extract_all("md", F.lit(TOKEN), 0).alias("tokens"))
+    known = F.array_intersect("tokens", F.concat("pairs.rare_token", "pairs.dict_token"))
+    both = tokens.select("doc_id", "pairs", "tokens", known.alias("known")).select("doc_id", "tokens", "known", F.explode("pairs").alias("p")).select("doc_id", "p.*", "tokens", "known")
+    has = lambda token: F.array_contains("known", F.col(token))
+    times = F.size("tokens") - F.size(F.array_remove("tokens", F.col("rare_token")))
+    n = F.when(has("rare_token") & ~has("dict_token"), times).otherwise(0)
+    looked = both.select("doc_id", "rare_token", "dict_token", "first", n.alias("n"), has("rare_token").alias("has_rare"), has("dict_token").alias("has_dict"))
+    seen = looked.groupBy("doc_id", "rare_token", "dict_token", "first").agg(F.sum("n").alias("n_reference"), F.max("has_rare").alias("has_rare"), F.max("has_dict").alias("has_dict"))
     nth = F.row_number().over(Window.partitionBy("doc_id", "dict_token").orderBy("first", "rare_token"))
-    return seen.where("n_reference > 0 AND n_dict = 0").withColumn("nth", nth).where("nth = 1").select("doc_id", "dict_token", "rare_token", "n_reference")
+    return seen.where("has_rare AND NOT has_dict").withColumn("nth", nth).where("nth = 1").select("doc_id", "dict_token", "rare_token", "n_reference")
 
 
 def confirmed(primary: DataFrame, reference: DataFrame, words: DataFrame) -> DataFrame:
@@ -83,7 +106,8 @@ def confirmed(primary: DataFrame, reference: DataFrame, words: DataFrame) -> Dat
 
 
 def _whole_word(token: Column) -> Column:
-    return F.concat(F.lit(r"(?U)\b"), token, F.lit(r"\b"))
+    """Pattern of a token between word boundaries; it begins with letters, which Java finds without trying every place."""
+    return F.concat(F.lit("(?U)"), token, F.lit(r"(?<=\b"), token, F.lit(r")\b"))
 
 
 def change_log(primary: DataFrame, reference: DataFrame, words: DataFrame) -> DataFrame:
@@ -92,9 +116,9 @@ def change_log(primary: DataFrame, reference: DataFrame, words: DataFrame) -> Da
     ``n_replaced`` counts the whole words that give way, ``n_reference`` how
     often the reference pass has the rare spelling.
     """
-    counted = _confirmed(primary, reference, words).join(primary.select("doc_id", "md"), "doc_id")
-    n = F.regexp_count("md", _whole_word(F.col("dict_token")))
-    return counted.select("doc_id", "dict_token", "rare_token", n.alias("n_replaced"), "n_reference").where("n_replaced > 0")
+    word = _whole_word(F.col("dict_token"))
+    met = primary.select("doc_id", "md").join(_confirmed(primary, reference, words).hint("shuffle_hash"), "doc_id").where(F.rlike("md", word))
+    return met.select("doc_id", "dict_token", "rare_token", F.regexp_count("md", word).alias("n_replaced"), "n_reference")
 
 
 def reconcile(primary: DataFrame, reference: DataFrame, words: DataFrame | None) -> DataFrame:

@@ -44,7 +44,7 @@ def document_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reference_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second pass over the documents, which reads every e as q."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.translate("text", "e", "q").alias("md"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("e"), F.lit("q")).alias("md"))
 
 
 def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,8 +167,8 @@ def dictionary_tokens(spark, sf_dir):
 
 @query
 def spelling_twins(spark, sf_dir):
-    counts = reconcile.token_counts(a.document_markdown(spark, sf_dir))
-    return reconcile.twins(counts, a.benchmark_words(spark, sf_dir)).select("doc_id", "rare_token", "dict_token")
+    repeated = reconcile.repeated_tokens(a.document_markdown(spark, sf_dir))
+    return reconcile.twins(repeated, a.benchmark_words(spark, sf_dir)).select("doc_id", "rare_token", "dict_token")
 
 
 @query

@@ -92,3 +92,31 @@ def test_tokens_are_counted_in_their_own_row(spark):
     md = spark.createDataFrame([(1, "words Words words other"), (1, "Words"), (2, "other"), (3, None), (4, "")], "doc_id long, md string")
     assert values(reconcile.token_counts(md), "doc_id", "token", "n", "first") == [(1, "Words", 2, 0), (1, "other", 1, 3), (1, "words", 2, 0), (2, "other", 1, 0)]
     assert values(reconcile.token_counts(md.where("doc_id > 1")), "doc_id", "token", "n", "first") == [(2, "other", 1, 0)]
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_corrections_pass_texts_by_unsorted(spark):
+    plan = plan_of(catalogue.queries()["spelling_log"](spark, "/root/testdata/sf0.001"))
+    assert "SortMergeJoin" not in plan and "lambdafunction" not in plan and plan.count("ShuffledHashJoin") == 2
+    frame = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, md string")
+    words = spark.createDataFrame([("carbon",), ("planet",)], "word string")
+    text = "Karvon Carbon Karvon Carbon (Carbon) Carbon7 éCarbon Carbons planit planet planet planit"
+    primary = frame((1, text), (2, text), (3, text), (4, None), (None, text))
+    second = frame((1, "Karvon Karvon"), (1, "Karvon planit planet"), (1, None), (2, "Karvon"), (2, "Carbon planit"), (4, text), (None, "Karvon"))
+    got = values(reconcile.change_log(primary, second, words), "doc_id", "dict_token", "rare_token", "n_replaced", "n_reference")
+    assert got == [(1, "Carbon", "Karvon", 3, 3), (2, "planet", "planit", 2, 1)]
+    glued = frame((1, "Karvon Carbon1 Karvon Carbon2"))  # twice a token, never a whole word
+    assert reconcile.change_log(glued, frame((1, "Karvon")), words).count() == 0
+
+
+def test_repeated_tokens_come_in_the_order_of_their_texts(spark):
+    long = "omega " * 300_000 + "alpha Alpha alphas alpha Alpha"
+    md = spark.createDataFrame([(1, "zeta omega alpha omega omegas alpha alphas omega"), (2, long), (3, None), (4, ""), (5, "omega"), (None, "alpha alpha")], "doc_id long, md string")
+    for rows in (md, md.union(spark.createDataFrame([(5, "alpha omega")], "doc_id long, md string"))):
+        ours = [(r["doc_id"], r["token"]) for r in reconcile.repeated_tokens(rows).orderBy("doc_id", "first").collect()]
+        theirs = reconcile.token_counts(rows).where("n > 1").orderBy("doc_id", "first").collect()
+        assert ours == [(r["doc_id"], r["token"]) for r in theirs]
+    assert ours[:3] == [(None, "alpha"), (1, "omega"), (1, "alpha")] and ours[-1] == (5, "omega")
