@@ -126,7 +126,7 @@ def reconcile(primary: DataFrame, reference: DataFrame, words: DataFrame | None)
     if words is None:
         return primary.select("doc_id", "md", F.lit(0).alias("n_replaced"))
     pairs = confirmed(primary, reference, words).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("dict_token", "rare_token"))).alias("pairs"))
-    joined = primary.select("doc_id", "md").join(pairs, "doc_id", "left")
+    joined = primary.select("doc_id", "md").join(pairs.hint("shuffle_hash"), "doc_id", "left")
     text = F.aggregate("pairs", F.col("md"), lambda s, p: F.regexp_replace(s, _whole_word(p["dict_token"]), p["rare_token"]))
     n = F.aggregate("pairs", F.lit(0), lambda total, p: total + F.regexp_count(F.col("md"), _whole_word(p["dict_token"])))
     counted = joined.withColumn("n_replaced", F.coalesce(n, F.lit(0)))  # before md has another meaning

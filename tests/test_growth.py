@@ -120,3 +120,13 @@ def test_repeated_tokens_come_in_the_order_of_their_texts(spark):
         theirs = reconcile.token_counts(rows).where("n > 1").orderBy("doc_id", "first").collect()
         assert ours == [(r["doc_id"], r["token"]) for r in theirs]
     assert ours[:3] == [(None, "alpha"), (1, "omega"), (1, "alpha")] and ours[-1] == (5, "omega")
+
+
+def test_corrected_texts_are_not_sorted(spark):
+    assert "SortMergeJoin" not in plan_of(catalogue.queries()["spelling_text"](spark, "/root/testdata/sf0.001"))
+    frame = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, md string")
+    words = spark.createDataFrame([("carbon",)], "word string")
+    text = "Karvon Carbon Karvon Carbon (Carbon) Carbon7 éCarbon Carbons"
+    got = reconcile.reconcile(frame((1, text), (2, text), (None, text), (3, None)), frame((1, "Karvon")), words)
+    changed = "Karvon Karvon Karvon Karvon (Karvon) Carbon7 éCarbon Carbons"
+    assert {r["doc_id"]: (r["md"], r["n_replaced"]) for r in got.collect()} == {1: (changed, 3), 2: (text, 0), None: (text, 0), 3: (None, 0)}
