@@ -45,17 +45,26 @@ def _one_row_each(md: DataFrame) -> bool:
     return md.groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
-def _repeats(tokens: str) -> Column:
-    """Tokens that occur twice or more, sorted."""
-    return F.regexp_extract_all(F.array_join(F.sort_array(tokens), " "), F.lit(_REPEATS), 1)
+def _repeats(tokens: str, group: int) -> Column:
+    """Tokens that occur twice or more, sorted: each once (group 1), or as often as it occurs, between spaces (group 0)."""
+    return F.regexp_extract_all(F.array_join(F.sort_array(tokens), " "), F.lit(_REPEATS), group)
+
+
+def repeated_counts(md: DataFrame) -> DataFrame:
+    """doc_id, token and n of the tokens that occur twice or more, without a shuffle where ids are unique."""
+    if not _one_row_each(md):
+        return token_counts(md).where(F.col("n") >= REPEATED).drop("first")
+    tokens = md.select("doc_id", F.regexp_extract_all("md", F.lit(TOKEN), 0).alias("tokens"))
+    runs = tokens.select("doc_id", F.explode(_repeats("tokens", 0)).alias("run")).select("doc_id", "run", F.substring_index("run", " ", 1).alias("token"))
+    return runs.select("doc_id", "token", F.floor((F.length("run") + 1) / (F.length("token") + 1)).cast("long").alias("n"))
 
 
 def repeated_tokens(md: DataFrame) -> DataFrame:
-    """doc_id, token and first (what is smaller occurs earlier) of the tokens that occur twice or more, without a shuffle where ids are unique."""
+    """doc_id, token and first (what is smaller occurs earlier) of the tokens that occur twice or more, likewise."""
     if not _one_row_each(md):
         return token_counts(md).where(F.col("n") >= REPEATED).drop("n")
     tokens = md.select("doc_id", F.regexp_extract_all("md", F.lit(TOKEN), 0).alias("tokens"))
-    return tokens.select("doc_id", F.posexplode(F.array_intersect("tokens", _repeats("tokens"))).alias("first", "token"))
+    return tokens.select("doc_id", F.posexplode(F.array_intersect("tokens", _repeats("tokens", 1))).alias("first", "token"))
 
 
 def rare_tokens(counts: DataFrame, words: DataFrame) -> DataFrame:

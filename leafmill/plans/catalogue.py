@@ -155,13 +155,13 @@ def json_blocks(spark, sf_dir):
 
 @query
 def rare_tokens(spark, sf_dir):
-    counts = reconcile.token_counts(a.document_markdown(spark, sf_dir))
+    counts = reconcile.repeated_counts(a.document_markdown(spark, sf_dir))
     return reconcile.rare_tokens(counts, a.benchmark_words(spark, sf_dir)).select("doc_id", "token", "n")
 
 
 @query
 def dictionary_tokens(spark, sf_dir):
-    counts = reconcile.token_counts(a.document_markdown(spark, sf_dir))
+    counts = reconcile.repeated_counts(a.document_markdown(spark, sf_dir))
     return reconcile.dictionary_tokens(counts, a.benchmark_words(spark, sf_dir)).select("doc_id", "token", "n")
 
 

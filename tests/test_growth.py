@@ -130,3 +130,14 @@ def test_corrected_texts_are_not_sorted(spark):
     got = reconcile.reconcile(frame((1, text), (2, text), (None, text), (3, None)), frame((1, "Karvon")), words)
     changed = "Karvon Karvon Karvon Karvon (Karvon) Carbon7 éCarbon Carbons"
     assert {r["doc_id"]: (r["md"], r["n_replaced"]) for r in got.collect()} == {1: (changed, 3), 2: (text, 0), None: (text, 0), 3: (None, 0)}
+
+
+def test_repeated_tokens_are_counted_without_interpreted_functions(spark):
+    for name in ("rare_tokens", "dictionary_tokens", "spelling_twins"):
+        plan = plan_of(catalogue.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert "lambdafunction" not in plan and plan.count("regexp_extract_all(text") == 2  # documents and benchmark, each once
+    md = spark.createDataFrame([(1, "words Words words other"), (2, "omega " * 300_000 + "alpha alphas alpha"), (3, None), (4, ""), (5, "omega")], "doc_id long, md string")
+    got = values(reconcile.repeated_counts(md), "doc_id", "token", "n")
+    assert got == [(1, "words", 2), (2, "alpha", 2), (2, "omega", 300_000)]
+    again = md.union(spark.createDataFrame([(5, "alpha omega")], "doc_id long, md string"))
+    assert values(reconcile.repeated_counts(again), "doc_id", "token", "n") == [*got, (5, "omega", 2)]
